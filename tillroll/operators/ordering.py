@@ -50,9 +50,9 @@ def _lower_bound(arr: str, value: str, max_len: int) -> Column:
     return F.expr(
         f"aggregate(sequence(1, {steps}), named_struct('lo', 0, 'hi', coalesce(size({arr}), 0)), "
         f"(acc, i) -> IF(acc.lo < acc.hi, "
-        f"IF(element_at({arr}, (acc.lo + acc.hi) div 2 + 1) < {value}, "
-        f"named_struct('lo', (acc.lo + acc.hi) div 2 + 1, 'hi', acc.hi), "
-        f"named_struct('lo', acc.lo, 'hi', (acc.lo + acc.hi) div 2)), acc), "
+        f"IF(element_at({arr}, CAST((acc.lo + acc.hi) div 2 AS INT) + 1) < {value}, "
+        f"named_struct('lo', CAST((acc.lo + acc.hi) div 2 AS INT) + 1, 'hi', acc.hi), "
+        f"named_struct('lo', acc.lo, 'hi', CAST((acc.lo + acc.hi) div 2 AS INT))), acc), "
         f"acc -> acc.lo)"
     )
 

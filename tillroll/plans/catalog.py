@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.plans import revenue
+from tillroll.plans import channel, clv, cohort, marketing, product, revenue, rfm
 from tillroll.session import apply_required_conf
 from tillroll.sources.tables import Shop, star_tables
 
@@ -15,6 +15,30 @@ REPORTS: dict[str, Callable[[Shop], DataFrame]] = {
     "revenue_trend_export": revenue.revenue_trend_export,
     "monthly_revenue": revenue.monthly_revenue,
     "monthly_growth": revenue.monthly_growth,
+    "rfm_segments": rfm.rfm_segments,
+    "rfm_segments_five_is_best": rfm.rfm_segments_five_is_best,
+    "rfm_segments_export": rfm.rfm_segments_export,
+    "snapshot_date": rfm.snapshot_date,
+    "customer_rfm_metrics": rfm.customer_rfm_metrics,
+    "customer_rfm_scores": rfm.customer_rfm_scores,
+    "customer_rfm_labels": rfm.customer_rfm_labels,
+    "cohort_retention": cohort.cohort_retention,
+    "cohort_retention_export": cohort.cohort_retention_export,
+    "first_purchase": cohort.first_purchase,
+    "customer_month_index": cohort.customer_month_index,
+    "cohort_size": cohort.cohort_size,
+    "product_pareto": product.product_pareto,
+    "product_performance_export": product.product_performance_export,
+    "product_revenue": product.product_revenue,
+    "channel_quality": channel.channel_quality,
+    "channel_performance_export": channel.channel_performance_export,
+    "marketing_roi": marketing.marketing_roi,
+    "marketing_roi_export": marketing.marketing_roi_export,
+    "channel_revenue": marketing.channel_revenue,
+    "channel_spend": marketing.channel_spend,
+    "segment_clv": clv.segment_clv,
+    "segment_clv_export": clv.segment_clv_export,
+    "customer_clv": clv.customer_clv,
 }
 
 
