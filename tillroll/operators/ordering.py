@@ -28,10 +28,13 @@ that key plus one.
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.session import ensure_checkpoint_dir
+
 _DIV = "div"
 
 
@@ -44,6 +47,17 @@ def default_buckets(df: DataFrame) -> int:
     return max(16, 4 * parts)
 
 
+def _materialize(df: DataFrame, wanted: bool) -> DataFrame:
+    """Reliable checkpoint to ``spark.checkpoint.dir`` when one is configured."""
+    if not wanted:
+        return df
+    if not ensure_checkpoint_dir(df.sparkSession):
+        warnings.warn("spark.checkpoint.dir is not set: global ordering runs without "
+                      "materialising its input (correct, but upstream work repeats)")
+        return df
+    return df.checkpoint(eager=True)
+
+
 def _lower_bound(arr: str, value: str, max_len: int) -> Column:
     """Number of elements of sorted array ``arr`` that are < ``value`` (binary search)."""
     steps = max(1, math.ceil(math.log2(max_len + 1)) + 1)
@@ -67,6 +81,7 @@ def global_order(
     prefix: str = "",
     sum_col: str | None = None,
     buckets: int | None = None,
+    materialize: bool = True,
 ) -> DataFrame:
     """Add exact global ``{prefix}row_number``, ``{prefix}rank``, ``{prefix}n``
     and, with ``sum_col``, ``{prefix}running_sum`` / ``{prefix}grand_total``.
@@ -75,6 +90,11 @@ def global_order(
     unless given) then ``tiebreak`` ASC. ``key`` and ``tiebreak`` must be
     numeric; ``tiebreak`` should be unique for a deterministic row number
     (it is required for row numbers and running sums to be exact).
+
+    The input is read three times (quantiles, bucket counts, numbering). With
+    ``materialize`` it is first written with ``checkpoint()`` to the shared
+    folder named by ``spark.checkpoint.dir``, so its upstream runs once and
+    chained orderings (three NTILEs) stay linear instead of multiplying.
     """
     if nulls_first is None:
         nulls_first = not descending
@@ -86,7 +106,7 @@ def global_order(
     k = F.col(key)
     sk = -k if descending else k
     tie = F.col(tiebreak) if tiebreak else F.xxhash64(*[F.col(c) for c in df.columns])
-    base = df.withColumn("_ok", sk).withColumn("_ot", tie)
+    base = _materialize(df.withColumn("_ok", sk).withColumn("_ot", tie), materialize)
 
     bounds = base.agg(
         F.array_distinct(F.percentile_approx("_ok", probs, accuracy)).alias("_kb"),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.plans import channel, clv, cohort, marketing, product, revenue, rfm
-from tillroll.session import apply_required_conf
+from tillroll.session import apply_required_conf, ensure_checkpoint_dir
 from tillroll.sources.tables import Shop, star_tables
 
 REPORTS: dict[str, Callable[[Shop], DataFrame]] = {
@@ -49,6 +49,7 @@ def register(name: str, fn: Callable[[Shop], DataFrame]) -> None:
 def shop_query(fn: Callable[[Shop], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_required_conf(spark)
+        ensure_checkpoint_dir(spark, scratch_if_unset=True)
         return fn(star_tables(spark, sf_dir))
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
@@ -64,3 +65,47 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # Keys whose callable needs more than a Shop (sinks, generator, table checks).
 EXTRA: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def cohort_matrix(shop: Shop) -> DataFrame:
+    from tillroll.operators.shape import cohort_matrix as cm
+    return cm(cohort.cohort_retention_export(shop), range(0, 6), "retention_pct")
+
+
+def top_products(shop: Shop) -> DataFrame:
+    from tillroll.operators.shape import top_products as tp
+    return tp(product.product_performance_export(shop))
+
+
+def paid_channels(shop: Shop) -> DataFrame:
+    from tillroll.operators.shape import paid_channels as pc
+    return pc(marketing.marketing_roi_export(shop))
+
+
+def return_flags(shop: Shop) -> DataFrame:
+    from tillroll.operators.shape import return_flags as rf
+    return rf(channel.channel_performance_export(shop))
+
+
+def kpi_summary(shop: Shop) -> DataFrame:
+    from tillroll.operators.shape import kpi_summary as ks
+    return ks(revenue.revenue_trend_export(shop), product.product_performance_export(shop),
+              channel.channel_performance_export(shop))
+
+
+def display_labels(shop: Shop) -> DataFrame:
+    from tillroll.operators.shape import display_labels as dl
+    return dl(kpi_summary(shop))
+
+
+def report_stats(shop: Shop) -> DataFrame:
+    from tillroll.operators.shape import report_stats as rs
+    return rs(revenue.revenue_trend_export(shop), rfm.rfm_segments_export(shop),
+              cohort.cohort_retention_export(shop), product.product_performance_export(shop),
+              channel.channel_performance_export(shop), marketing.marketing_roi_export(shop),
+              clv.segment_clv_export(shop))
+
+
+for _f in (cohort_matrix, top_products, paid_channels, return_flags, kpi_summary, display_labels,
+           report_stats):
+    REPORTS[_f.__name__] = _f
