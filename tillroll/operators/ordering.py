@@ -47,7 +47,7 @@ def default_buckets(df: DataFrame) -> int:
     return max(16, 4 * parts)
 
 
-def _materialize(df: DataFrame, wanted: bool) -> DataFrame:
+def checkpointed(df: DataFrame, wanted: bool = True) -> DataFrame:
     """Reliable checkpoint to ``spark.checkpoint.dir`` when one is configured."""
     if not wanted:
         return df
@@ -106,7 +106,7 @@ def global_order(
     k = F.col(key)
     sk = -k if descending else k
     tie = F.col(tiebreak) if tiebreak else F.xxhash64(*[F.col(c) for c in df.columns])
-    base = _materialize(df.withColumn("_ok", sk).withColumn("_ot", tie), materialize)
+    base = checkpointed(df.withColumn("_ok", sk).withColumn("_ot", tie), materialize)
 
     bounds = base.agg(
         F.array_distinct(F.percentile_approx("_ok", probs, accuracy)).alias("_kb"),
@@ -178,10 +178,10 @@ def ntile_of(row_number: Column, n: Column, tiles: int) -> Column:
 
 
 def global_ntile(df: DataFrame, key: str, tiles: int, out: str, *, descending: bool = False,
-                 tiebreak: str, buckets: int | None = None) -> DataFrame:
+                 tiebreak: str, buckets: int | None = None, materialize: bool = True) -> DataFrame:
     """``NTILE(tiles) OVER (ORDER BY key [DESC], tiebreak)`` without one partition."""
     p = f"_nt_{out}_"
     ranked = global_order(df, key, descending=descending, tiebreak=tiebreak, prefix=p,
-                          buckets=buckets)
+                          buckets=buckets, materialize=materialize)
     return (ranked.withColumn(out, ntile_of(F.col(f"{p}row_number"), F.col(f"{p}n"), tiles))
             .drop(f"{p}row_number", f"{p}rank", f"{p}n"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.dates import iso_date
 from tillroll.functions.numeric import round_div, to_double
-from tillroll.operators.ordering import global_ntile
+from tillroll.operators.ordering import checkpointed, global_ntile
 from tillroll.plans.customers import customer_orders, snapshot, with_attributes
 from tillroll.sources.schema import RFM_LABELS_DETAIL, RFM_LABELS_EXPORT
 from tillroll.sources.tables import Shop
@@ -54,15 +54,22 @@ def customer_rfm_metrics(shop: Shop) -> DataFrame:
 
 def customer_rfm_scores_exact(shop: Shop, scores: str = AS_WRITTEN,
                               buckets: int | None = None) -> DataFrame:
+    """Metrics plus the three tiles.
+
+    The customer metrics are materialised once (checkpoint to the shared
+    folder); each tile is then computed from a two-column projection of that
+    copy and joined back by ``customer_id``, so no ordering re-reads the facts.
+    """
     flip = scores == FIVE_IS_BEST
-    m = customer_rfm_metrics_exact(shop)
-    m = global_ntile(m, "recency_days", 5, "r_score", descending=flip,
-                     tiebreak="customer_id", buckets=buckets)
-    m = global_ntile(m, "frequency", 5, "f_score", descending=not flip,
-                     tiebreak="customer_id", buckets=buckets)
-    m = global_ntile(m, "monetary", 5, "m_score", descending=not flip,
-                     tiebreak="customer_id", buckets=buckets)
-    return m
+    m = checkpointed(customer_rfm_metrics_exact(shop))
+    out = m
+    for key, score, desc in (("recency_days", "r_score", flip),
+                             ("frequency", "f_score", not flip),
+                             ("monetary", "m_score", not flip)):
+        tiles = global_ntile(m.select("customer_id", key), key, 5, score, descending=desc,
+                             tiebreak="customer_id", buckets=buckets, materialize=False)
+        out = out.join(tiles.select("customer_id", score), "customer_id")
+    return out
 
 
 def customer_rfm_scores(shop: Shop, scores: str = AS_WRITTEN) -> DataFrame:

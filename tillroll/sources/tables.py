@@ -83,7 +83,23 @@ def _status(orderstatus, orderkey):
                   F.when(orderkey % 2 == 0, "cancelled").otherwise("pending")))
 
 
+_STAR_CACHE: dict[tuple[str, str], Shop] = {}
+
+
 def star_tables(spark: SparkSession, sf_dir: str) -> Shop:
+    """The star schema under ``sf_dir`` mapped onto the shop tables (lazy).
+
+    The lazy DataFrames are kept per application and folder: building them
+    reads file footers and costs driver time, and they hold no data.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    shop = _STAR_CACHE.get(key)
+    if shop is None or shop.orders.sparkSession is not spark:
+        shop = _STAR_CACHE[key] = _star_tables(spark, sf_dir)
+    return shop
+
+
+def _star_tables(spark: SparkSession, sf_dir: str) -> Shop:
     """The star schema under ``sf_dir`` mapped onto the shop tables.
 
     customers  <- customer (+ nation, region; referral = type of the user's
