@@ -5,46 +5,72 @@ over an unpartitioned window make Spark move every row into one task
 (``Exchange SinglePartition``). Here the same numbers are computed with the
 rows spread over many tasks:
 
-1. One aggregate gives approximate quantiles of the sort key (and of the
-   tie-break column). They only decide how rows are spread, never a result:
-   any boundaries give exact answers, good ones balance the tasks. The
-   one-row result is broadcast into the plan; nothing goes to the driver.
-2. Each row gets a bucket from a binary search over those boundaries, a pure
-   expression, so a recomputed task puts the same row in the same bucket.
-   A key equal to a boundary has a "point" bucket of its own, and point
-   buckets are split again by tie-break ranges: a single value holding a third
-   of all rows is spread over many buckets, in tie-break order.
-3. One small aggregate per bucket (count, sum) and prefix sums over those
-   buckets (a few thousand rows at most) give each bucket's offsets; that
-   table has a proven size bound, so it is broadcast back.
-4. ``Window.partitionBy(bucket).orderBy(key, tiebreak)`` numbers rows inside a
-   bucket; the offsets make the numbers global.
-
-RANK needs no tie-break: equal keys in an interval bucket sit in that bucket,
-and a point bucket holds one key, so its rank is the number of rows before
-that key plus one.
+1. Job 1 (one aggregate; a few numbers reach the driver): approximate
+   quantiles of each sort key, row count and NULL count. Quantiles only decide
+   how rows are spread, never a result: any boundaries give exact answers,
+   good ones balance the tasks.
+2. A key value that fills several quantile slots is *heavy* (it holds about
+   that many slots' worth of rows, up to a third of all rows or more). Job 2
+   gives each heavy value, and a large NULL group, as many tie-break ranges
+   as it has slots, from tie-break quantiles inside that value.
+3. Each row gets a bucket from a pure expression: a binary search of its key
+   among the boundaries (a key equal to a boundary gets a "point" bucket of
+   its own), plus the tie-break range for heavy values. Buckets follow the
+   output order, there are at most about three per quantile slot, and a
+   recomputed task puts a row in the same bucket.
+4. Job 3: row count and key sum per bucket (one small row per bucket);
+   prefix sums over them give every bucket's offsets (a bounded literal map).
+5. ``Window.partitionBy(bucket).orderBy(key, tiebreak)`` numbers rows inside a
+   bucket and the offsets make the numbers global.
+
+RANK needs no tie-break: equal keys share one interval bucket, or form a
+point value whose rank is the rows before it plus one. Without a tie-break
+column heavy values are split by a hash of the row: tasks stay balanced and
+ranks exact, while row numbers follow an arbitrary order among ties.
+
+Several orderings of the same rows (the three RFM tiles) share jobs 1-3 and
+chain their windows on one DataFrame: one shuffle per ordering, no joins.
 """
 
 from __future__ import annotations
 
 import math
 import warnings
+from collections import Counter
+from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.session import ensure_checkpoint_dir
 
 _DIV = "div"
+_SUM_TYPE = T.DecimalType(38, 10)
+
+
+@dataclass(frozen=True)
+class OrderSpec:
+    """One ordering: ``key`` ASC or DESC; NULLs placed as Spark does unless given."""
+    key: str
+    descending: bool = False
+    nulls_first: bool | None = None
+    prefix: str = ""
+    sum_col: str | None = None
+
+    @property
+    def nulls_go_first(self) -> bool:
+        return (not self.descending) if self.nulls_first is None else self.nulls_first
 
 
 def default_buckets(df: DataFrame) -> int:
-    """Four buckets per shuffle partition, at least 16."""
+    """Two buckets per shuffle partition, at least 16."""
     try:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - conf always set in practice
+    except Exception:  # pragma: no cover - the conf is always set
         parts = 200
-    return max(16, 4 * parts)
+    return max(16, 2 * parts)
 
 
 def checkpointed(df: DataFrame, wanted: bool = True) -> DataFrame:
@@ -52,118 +78,267 @@ def checkpointed(df: DataFrame, wanted: bool = True) -> DataFrame:
     if not wanted:
         return df
     if not ensure_checkpoint_dir(df.sparkSession):
-        warnings.warn("spark.checkpoint.dir is not set: global ordering runs without "
-                      "materialising its input (correct, but upstream work repeats)")
+        warnings.warn("spark.checkpoint.dir is not set: the input of a global ordering is "
+                      "not materialised (results stay exact, upstream work repeats)")
         return df
     return df.checkpoint(eager=True)
 
 
-def _lower_bound(arr: str, value: str, max_len: int) -> Column:
-    """Number of elements of sorted array ``arr`` that are < ``value`` (binary search)."""
+# --- SQL literals ------------------------------------------------------------
+
+def _lit(v, dtype: T.DataType) -> str:
+    t = dtype.simpleString()
+    if v is None:
+        return f"CAST(NULL AS {t})"
+    if isinstance(dtype, T.DecimalType):
+        return f"CAST('{Decimal(v)}' AS {t})"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return f"CAST('{float(v)!r}' AS {t})"
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return f"CAST({int(v)} AS {t})"
+    return f"CAST('{v}' AS {t})"
+
+
+def _array(values, dtype: T.DataType) -> str:
+    return f"CAST(array({', '.join(_lit(v, dtype) for v in values)}) AS array<{dtype.simpleString()}>)"
+
+
+def _map(keys, values_sql: list[str], ktype: T.DataType, vtype: str) -> str:
+    if not keys:
+        return f"CAST(map() AS map<{ktype.simpleString()},{vtype}>)"
+    return (f"map_from_arrays({_array(keys, ktype)}, "
+            f"CAST(array({', '.join(values_sql)}) AS array<{vtype}>))")
+
+
+def _lower_bound(arr: str, value: str, max_len: int) -> str:
+    """SQL: number of elements of sorted array ``arr`` that are < ``value`` (binary search)."""
     steps = max(1, math.ceil(math.log2(max_len + 1)) + 1)
-    return F.expr(
-        f"aggregate(sequence(1, {steps}), named_struct('lo', 0, 'hi', coalesce(size({arr}), 0)), "
-        f"(acc, i) -> IF(acc.lo < acc.hi, "
-        f"IF(element_at({arr}, CAST((acc.lo + acc.hi) div 2 AS INT) + 1) < {value}, "
-        f"named_struct('lo', CAST((acc.lo + acc.hi) div 2 AS INT) + 1, 'hi', acc.hi), "
-        f"named_struct('lo', acc.lo, 'hi', CAST((acc.lo + acc.hi) div 2 AS INT))), acc), "
-        f"acc -> acc.lo)"
-    )
-
-
-def global_order(
-    df: DataFrame,
-    key: str,
-    *,
-    descending: bool = False,
-    nulls_first: bool | None = None,
-    tiebreak: str | None = None,
-    prefix: str = "",
-    sum_col: str | None = None,
-    buckets: int | None = None,
-    materialize: bool = True,
-) -> DataFrame:
-    """Add exact global ``{prefix}row_number``, ``{prefix}rank``, ``{prefix}n``
-    and, with ``sum_col``, ``{prefix}running_sum`` / ``{prefix}grand_total``.
-
-    Order is ``key`` (ASC or DESC, NULLs first/last as in Spark's defaults
-    unless given) then ``tiebreak`` ASC. ``key`` and ``tiebreak`` must be
-    numeric; ``tiebreak`` should be unique for a deterministic row number
-    (it is required for row numbers and running sums to be exact).
-
-    The input is read three times (quantiles, bucket counts, numbering). With
-    ``materialize`` it is first written with ``checkpoint()`` to the shared
-    folder named by ``spark.checkpoint.dir``, so its upstream runs once and
-    chained orderings (three NTILEs) stay linear instead of multiplying.
-    """
-    if nulls_first is None:
-        nulls_first = not descending
-    b = buckets or default_buckets(df)
-    n_probs = b - 1
+    mid = "CAST((acc.lo + acc.hi) div 2 AS INT)"
+    return (f"aggregate(sequence(1, {steps}), named_struct('lo', 0, 'hi', coalesce(size({arr}), 0)), "
+            f"(acc, i) -> IF(acc.lo < acc.hi, IF(element_at({arr}, {mid} + 1) < {value}, "
+            f"named_struct('lo', {mid} + 1, 'hi', acc.hi), named_struct('lo', acc.lo, 'hi', {mid})), "
+            f"acc), acc -> acc.lo)")
+
+
+def _even_pick(qs: list, ranges: int) -> list:
+    """``ranges - 1`` evenly spaced elements of a quantile list (distinct, sorted)."""
+    if not qs or ranges < 2:
+        return []
+    n = len(qs) + 1
+    return sorted({qs[min(len(qs) - 1, max(0, round(j * n / ranges) - 1))] for j in range(1, ranges)})
+
+
+# --- planning: three small jobs shared by all orderings of one input --------
+
+@dataclass
+class _Plan:
+    spec: OrderSpec
+    sort_col: str
+    bucket_col: str
+    bucket: Column
+    width: int
+    row_off: str = ""
+    rank_off: str = ""
+    sum_off: str | None = None
+    n: int = 0
+
+
+def _plan(base: DataFrame, specs: list[OrderSpec], tiebreak: str | None, buckets: int,
+          tag: str) -> tuple[DataFrame, list[_Plan]]:
+    b = buckets
     probs = [i / b for i in range(1, b)]
     accuracy = max(10000, 20 * b)
+    cols = [f"_{tag}k{i}" for i in range(len(specs))]
+    work = base.select("*", *[(-F.col(s.key) if s.descending else F.col(s.key)).alias(c)
+                              for s, c in zip(specs, cols)])
+    types = [work.schema[c].dataType for c in cols]
+    tie_type = work.schema[tiebreak].dataType if tiebreak else None
+
+    # Job 1: quantiles, row count and NULL count of every sort key.
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(cols):
+        aggs += [F.percentile_approx(c, probs, accuracy).alias(f"q{i}"),
+                 F.count(F.when(F.col(c).isNull(), 1)).alias(f"z{i}")]
+    row = work.agg(*aggs).first()
+    n = row["n"]
+    slot = max(1, n // b)
+    layout = []
+    for i in range(len(specs)):
+        counts = Counter(v for v in (row[f"q{i}"] or []) if v is not None)
+        distinct = sorted(counts)
+        heavy = {v: c for v, c in counts.items() if c >= 2}
+        nulls = row[f"z{i}"]
+        null_ranges = min(b, -(-nulls // slot)) if nulls > slot else 1
+        layout.append((distinct, heavy, null_ranges))
+
+    # Job 2: tie-break boundaries inside heavy values and a large NULL group.
+    splits = [dict() for _ in specs]
+    null_splits = [[] for _ in specs]
+    wanted = [i for i, (_, h, z) in enumerate(layout) if tiebreak and (h or z > 1)]
+    if wanted:
+        parts = []
+        for i in wanted:
+            distinct, heavy, null_ranges = layout[i]
+            c = F.col(cols[i])
+            cond = c.isin(list(heavy)) if heavy else F.lit(False)
+            if null_ranges > 1:
+                cond = cond | c.isNull()
+            parts.append(work.where(cond).groupBy(c.cast("string").alias("v"))
+                         .agg(F.percentile_approx(tiebreak, probs, accuracy).alias("q"))
+                         .select(F.lit(i).alias("i"), "v", "q"))
+        union = parts[0]
+        for p in parts[1:]:
+            union = union.unionByName(p)
+        # at most (#heavy values + 1) rows per ordering, each holding < b numbers
+        for r in union.collect():
+            i = r["i"]
+            distinct, heavy, null_ranges = layout[i]
+            q = [x for x in (r["q"] or []) if x is not None]
+            if r["v"] is None:
+                null_splits[i] = _even_pick(q, null_ranges)
+            else:
+                key = _match(heavy, r["v"], types[i])
+                if key is not None:
+                    splits[i][key] = _even_pick(q, heavy[key])
+
+    # Bucket expressions.
+    plans = []
+    for i, (s, c) in enumerate(zip(specs, cols)):
+        distinct, heavy, null_ranges = layout[i]
+        m = len(distinct)
+        arr = _array(distinct, types[i])
+        lb_sql = _lower_bound(arr, c, m)
+        lb = F.expr(lb_sql)
+        is_point = F.expr(f"coalesce(({lb_sql}) < {m} AND try_element_at({arr}, ({lb_sql}) + 1) = {c}, false)")
+        if tiebreak:
+            width = max([len(v) for v in splits[i].values()] + [len(null_splits[i]), 0]) + 1
+            submap = _map(list(splits[i]), [_array(splits[i][k], tie_type) for k in splits[i]],
+                          types[i], f"array<{tie_type.simpleString()}>")
+            sub_point = F.expr(f"coalesce({_lower_bound(f'try_element_at({submap}, {c})', tiebreak, width)}, 0)")
+            sub_null = F.expr(_lower_bound(_array(null_splits[i], tie_type), tiebreak, width))
+        else:
+            width = max(list(heavy.values()) + [null_ranges, 1])
+            ways = _map(list(heavy), [str(heavy[k]) for k in heavy], types[i], "int")
+            h = F.xxhash64(*[F.col(x) for x in base.columns])
+            sub_point = F.coalesce(F.pmod(h, F.expr(f"try_element_at({ways}, {c})")), F.lit(0))
+            sub_null = F.pmod(h, F.lit(null_ranges))
+        null_v = F.lit(-1) if s.nulls_go_first else F.lit(2 * m + 1)
+        vidx = F.when(F.col(c).isNull(), null_v).when(is_point, lb * 2 + 1).otherwise(lb * 2)
+        sub = F.when(F.col(c).isNull(), sub_null).when(is_point, sub_point).otherwise(F.lit(0))
+        bucket = vidx.cast("long") * F.lit(width).cast("long") + sub.cast("long")
+        plans.append(_Plan(s, c, f"_{tag}b{i}", bucket, width, n=n))
+
+    # Job 3: rows and key sums per bucket, every ordering at once.
+    entries = []
+    for i, p in enumerate(plans):
+        sval = (F.col(p.spec.sum_col).cast(_SUM_TYPE) if p.spec.sum_col
+                else F.lit(None).cast(_SUM_TYPE))
+        entries.append(F.struct(F.lit(i).alias("i"), p.bucket.alias("b"), sval.alias("s")))
+    stats = (work.select(F.explode(F.array(*entries)).alias("e"))
+             .groupBy(F.col("e.i").alias("i"), F.col("e.b").alias("b"))
+             .agg(F.count(F.lit(1)).alias("c"), F.sum("e.s").alias("s"))
+             .collect())   # about three rows per quantile slot and ordering
+    per: dict[int, list] = {i: [] for i in range(len(plans))}
+    for r in stats:
+        per[r["i"]].append((r["b"], r["c"], r["s"]))
+    for i, p in enumerate(plans):
+        rows = sorted(per[i])
+        by_value: dict[int, int] = {}
+        for bk, cnt, _ in rows:
+            by_value[bk // p.width] = by_value.get(bk // p.width, 0) + cnt
+        before_value, acc = {}, 0
+        for v in sorted(by_value):
+            before_value[v] = acc
+            acc += by_value[v]
+        keys, row_off, rank_off, sum_off = [], [], [], []
+        acc_rows, acc_sum = 0, None
+        for bk, cnt, sm in rows:
+            keys.append(bk)
+            row_off.append(acc_rows)
+            rank_off.append(before_value[bk // p.width])
+            sum_off.append(acc_sum)
+            acc_rows += cnt
+            if sm is not None:
+                acc_sum = sm if acc_sum is None else acc_sum + sm
+        p.row_off = _map(keys, [str(x) for x in row_off], T.LongType(), "bigint")
+        p.rank_off = _map(keys, [str(x) for x in rank_off], T.LongType(), "bigint")
+        if p.spec.sum_col:
+            p.sum_off = _map(keys, [_lit(x, _SUM_TYPE) for x in sum_off], T.LongType(),
+                             _SUM_TYPE.simpleString())
+            p.grand_total = acc_sum
+    return work, plans
+
+
+def _match(heavy: dict, text: str, dtype: T.DataType):
+    for k in heavy:
+        if str(k) == text:
+            return k
+        try:
+            if isinstance(dtype, T.DecimalType) and Decimal(text) == Decimal(k):
+                return k
+            if isinstance(dtype, (T.FloatType, T.DoubleType)) and float(text) == float(k):
+                return k
+            if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) \
+                    and int(text) == int(k):
+                return k
+        except (ValueError, ArithmeticError):
+            continue
+    return None
+
+
+# --- public operators ----------------------------------------------------------
 
-    k = F.col(key)
-    sk = -k if descending else k
-    tie = F.col(tiebreak) if tiebreak else F.xxhash64(*[F.col(c) for c in df.columns])
-    base = checkpointed(df.withColumn("_ok", sk).withColumn("_ot", tie), materialize)
-
-    bounds = base.agg(
-        F.array_distinct(F.percentile_approx("_ok", probs, accuracy)).alias("_kb"),
-        F.array_distinct(F.percentile_approx("_ot", probs, accuracy)).alias("_tb"),
-    )
-    with_b = base.crossJoin(F.broadcast(bounds))
-    lb = _lower_bound("_kb", "_ok", n_probs)
-    ksize = F.coalesce(F.size("_kb"), F.lit(0))
-    tsize = F.coalesce(F.size("_tb"), F.lit(0))
-    is_point = (lb < ksize) & (F.element_at("_kb", lb + 1) == F.col("_ok"))
-    vidx = (F.when(F.col("_ok").isNull(), F.lit(-1) if nulls_first else ksize * 2 + 1)
-            .when(is_point, lb * 2 + 1).otherwise(lb * 2))
-    split = F.col("_ok").isNull() | is_point
-    sub = F.when(split, _lower_bound("_tb", "_ot", n_probs)).otherwise(F.lit(0))
-    bucketed = (with_b.withColumn("_ov", vidx.cast("long"))
-                .withColumn("_obk", F.col("_ov") * (tsize + 1).cast("long") + sub.cast("long"))
-                .drop("_kb", "_tb"))
-
-    stat_aggs = [F.count(F.lit(1)).alias("_on")]
-    if sum_col:
-        stat_aggs.append(F.sum(sum_col).alias("_os"))
-    stats = bucketed.groupBy("_obk", "_ov").agg(*stat_aggs)
-    before = Window.orderBy("_obk").rowsBetween(Window.unboundedPreceding, -1)
-    lower_keys = Window.orderBy("_ov").rangeBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(F.lit(1))
-    offs = [
-        "_obk",
-        F.coalesce(F.sum("_on").over(before), F.lit(0)).alias("_orow"),
-        F.coalesce(F.sum("_on").over(lower_keys), F.lit(0)).alias("_orank"),
-        F.sum("_on").over(everything).alias("_otot"),
-    ]
-    if sum_col:
-        offs += [F.sum("_os").over(before).alias("_osum"),
-                 F.sum("_os").over(everything).alias("_ogrand")]
-    offsets = stats.select(*offs)
-
-    order = [F.col("_ok").asc_nulls_first() if nulls_first else F.col("_ok").asc_nulls_last(),
-             F.col("_ot").asc()]
-    w = Window.partitionBy("_obk").orderBy(*order)
-    peers = Window.partitionBy("_obk").orderBy(order[0])  # rank: key only, not tie-break
-    out = (bucketed.join(F.broadcast(offsets), "_obk")
-           .withColumn(f"{prefix}row_number", F.col("_orow") + F.row_number().over(w))
-           .withColumn(f"{prefix}rank", F.col("_orank") + F.rank().over(peers))
-           .withColumn(f"{prefix}n", F.col("_otot")))
-    drop = ["_ok", "_ot", "_ov", "_obk", "_orow", "_orank", "_otot"]
-    if sum_col:
-        run_in = F.sum(sum_col).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        out = (out.withColumn("_orin", run_in)
-               .withColumn(f"{prefix}running_sum",
-                           F.when(F.col("_osum").isNull(), F.col("_orin"))
-                           .when(F.col("_orin").isNull(), F.col("_osum"))
-                           .otherwise(F.col("_osum") + F.col("_orin")))
-               .withColumn(f"{prefix}grand_total", F.col("_ogrand")))
-        drop += ["_orin", "_osum", "_ogrand"]
+def global_orders(df: DataFrame, specs: list[OrderSpec], *, tiebreak: str | None = None,
+                  buckets: int | None = None, materialize: bool = True,
+                  tag: str = "o") -> DataFrame:
+    """Add, per spec, exact global ``{prefix}row_number``, ``{prefix}rank``,
+    ``{prefix}n`` and, with ``sum_col``, ``{prefix}running_sum`` (ROWS frame up
+    to the current row) and ``{prefix}grand_total``.
+
+    Order: ``key`` then ``tiebreak`` ASC. The input is read by three small
+    jobs and the final plan; with ``materialize`` it is first checkpointed to
+    the shared folder named by ``spark.checkpoint.dir`` so that its upstream
+    runs once.
+    """
+    base = checkpointed(df, materialize)
+    b = buckets or default_buckets(df)
+    work, plans = _plan(base, specs, tiebreak, b, tag)
+    out = work
+    drop = []
+    for p in plans:
+        s = p.spec
+        order = F.col(p.sort_col).asc_nulls_first() if s.nulls_go_first else F.col(p.sort_col).asc_nulls_last()
+        w = Window.partitionBy(p.bucket_col).orderBy(order, *([F.col(tiebreak).asc()] if tiebreak else []))
+        peers = Window.partitionBy(p.bucket_col).orderBy(order)
+        out = (out.withColumn(p.bucket_col, p.bucket)
+               .withColumn(f"{s.prefix}row_number",
+                           F.expr(f"try_element_at({p.row_off}, {p.bucket_col})") + F.row_number().over(w))
+               .withColumn(f"{s.prefix}rank",
+                           F.expr(f"try_element_at({p.rank_off}, {p.bucket_col})") + F.rank().over(peers))
+               .withColumn(f"{s.prefix}n", F.lit(p.n).cast("long")))
+        if s.sum_col:
+            inside = F.sum(s.sum_col).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            before = F.expr(f"try_element_at({p.sum_off}, {p.bucket_col})")
+            run = (F.when(before.isNull(), inside).when(inside.isNull(), before)
+                   .otherwise(before + inside))
+            grand = getattr(p, "grand_total", None)
+            out = (out.withColumn(f"{s.prefix}running_sum", run)
+                   .withColumn(f"{s.prefix}grand_total",
+                               F.expr(_lit(grand, _SUM_TYPE)) if grand is not None
+                               else F.lit(None).cast(_SUM_TYPE)))
+        drop += [p.sort_col, p.bucket_col]
     return out.drop(*drop)
 
 
+def global_order(df: DataFrame, key: str, *, descending: bool = False,
+                 nulls_first: bool | None = None, tiebreak: str | None = None,
+                 prefix: str = "", sum_col: str | None = None, buckets: int | None = None,
+                 materialize: bool = True) -> DataFrame:
+    """One ordering; see :func:`global_orders`."""
+    spec = OrderSpec(key, descending, nulls_first, prefix, sum_col)
+    return global_orders(df, [spec], tiebreak=tiebreak, buckets=buckets, materialize=materialize)
+
+
 def ntile_of(row_number: Column, n: Column, tiles: int) -> Column:
     """NTILE(tiles) from a global 1-based row number and the row count.
 
@@ -177,11 +352,26 @@ def ntile_of(row_number: Column, n: Column, tiles: int) -> Column:
     return F.when(row_number <= big, first).otherwise(rest).cast("long")
 
 
+def global_ntiles(df: DataFrame, specs: list[tuple[str, bool, str]], tiles: int, *,
+                  tiebreak: str, buckets: int | None = None,
+                  materialize: bool = True) -> DataFrame:
+    """Several ``NTILE(tiles) OVER (ORDER BY key [DESC], tiebreak)`` at once.
+
+    ``specs``: (key, descending, output column). Shares the planning jobs and
+    chains one window per ordering (no joins).
+    """
+    order_specs = [OrderSpec(k, d, prefix=f"_nt{i}_") for i, (k, d, _) in enumerate(specs)]
+    ranked = global_orders(df, order_specs, tiebreak=tiebreak, buckets=buckets,
+                           materialize=materialize, tag="nt")
+    drop = []
+    for (_, _, out), s in zip(specs, order_specs):
+        ranked = ranked.withColumn(out, ntile_of(F.col(f"{s.prefix}row_number"), F.col(f"{s.prefix}n"), tiles))
+        drop += [f"{s.prefix}row_number", f"{s.prefix}rank", f"{s.prefix}n"]
+    return ranked.drop(*drop)
+
+
 def global_ntile(df: DataFrame, key: str, tiles: int, out: str, *, descending: bool = False,
                  tiebreak: str, buckets: int | None = None, materialize: bool = True) -> DataFrame:
     """``NTILE(tiles) OVER (ORDER BY key [DESC], tiebreak)`` without one partition."""
-    p = f"_nt_{out}_"
-    ranked = global_order(df, key, descending=descending, tiebreak=tiebreak, prefix=p,
-                          buckets=buckets, materialize=materialize)
-    return (ranked.withColumn(out, ntile_of(F.col(f"{p}row_number"), F.col(f"{p}n"), tiles))
-            .drop(f"{p}row_number", f"{p}rank", f"{p}n"))
+    return global_ntiles(df, [(key, descending, out)], tiles, tiebreak=tiebreak,
+                         buckets=buckets, materialize=materialize)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.dates import iso_date
 from tillroll.functions.numeric import round_div, to_double
-from tillroll.operators.ordering import checkpointed, global_ntile
+from tillroll.operators.ordering import checkpointed, global_ntiles
 from tillroll.plans.customers import customer_orders, snapshot, with_attributes
 from tillroll.sources.schema import RFM_LABELS_DETAIL, RFM_LABELS_EXPORT
 from tillroll.sources.tables import Shop
@@ -57,19 +57,15 @@ def customer_rfm_scores_exact(shop: Shop, scores: str = AS_WRITTEN,
     """Metrics plus the three tiles.
 
     The customer metrics are materialised once (checkpoint to the shared
-    folder); each tile is then computed from a two-column projection of that
-    copy and joined back by ``customer_id``, so no ordering re-reads the facts.
+    folder); the three orderings share their planning jobs and add one
+    shuffle and window each.
     """
     flip = scores == FIVE_IS_BEST
     m = checkpointed(customer_rfm_metrics_exact(shop))
-    out = m
-    for key, score, desc in (("recency_days", "r_score", flip),
-                             ("frequency", "f_score", not flip),
-                             ("monetary", "m_score", not flip)):
-        tiles = global_ntile(m.select("customer_id", key), key, 5, score, descending=desc,
-                             tiebreak="customer_id", buckets=buckets, materialize=False)
-        out = out.join(tiles.select("customer_id", score), "customer_id")
-    return out
+    return global_ntiles(m, [("recency_days", flip, "r_score"),
+                             ("frequency", not flip, "f_score"),
+                             ("monetary", not flip, "m_score")],
+                         5, tiebreak="customer_id", buckets=buckets, materialize=False)
 
 
 def customer_rfm_scores(shop: Shop, scores: str = AS_WRITTEN) -> DataFrame:
