@@ -109,3 +109,111 @@ def report_stats(shop: Shop) -> DataFrame:
 for _f in (cohort_matrix, top_products, paid_channels, return_flags, kpi_summary, display_labels,
            report_stats):
     REPORTS[_f.__name__] = _f
+
+
+# ---------------------------------------------------------------------------
+# Facts, data quality, sources and sinks
+# ---------------------------------------------------------------------------
+# The adapter has no item_id of its own: (order_id, item_id = line number) is
+# the natural key of a line, and spend is keyed by (month, channel).
+def _adapter_rule(t, k, c, a):
+    if (t, k) == ("order_items", "pk"):
+        return t, k, ("order_id", "item_id"), a
+    if (t, k) == ("marketing_spend", "pk"):
+        return t, k, ("month", "channel"), a
+    if (t, k) == ("order_items", "not_null"):   # cost is kept per line
+        return t, k, tuple("line_cost" if x == "unit_cost" else x for x in c), a
+    return t, k, c, a
+
+
+ADAPTER_RULES = [_adapter_rule(*r) for r in __import__("tillroll.sources.schema", fromlist=["RULES"]).RULES]
+
+
+def sales_lines(shop: Shop) -> DataFrame:
+    from tillroll.functions.dates import iso_datetime
+    from tillroll.operators.facts import sales_lines as sl
+    from tillroll.functions.numeric import to_double
+    from pyspark.sql import functions as F
+    s = sl(shop)
+    return s.select(
+        "order_id", "item_id", "customer_id", "status", "channel",
+        iso_datetime(F.col("ordered_at")).alias("ordered_at"),
+        iso_datetime(F.col("shipped_at")).alias("shipped_at"),
+        to_double(F.col("discount_pct")).alias("discount_pct"),
+        "product_id", "quantity",
+        to_double(F.col("unit_price")).alias("unit_price"),
+        to_double(F.col("line_revenue")).alias("line_revenue"),
+        to_double(F.col("line_cost")).alias("line_cost"),
+        to_double(F.col("net_line_revenue")).alias("net_line_revenue"),
+        to_double(F.col("line_profit")).alias("line_profit"),
+    )
+
+
+def _tables(shop: Shop) -> dict[str, DataFrame]:
+    from tillroll.sources.schema import TABLES
+    return {n: shop.table(n) for n in TABLES}
+
+
+def table_counts(shop: Shop) -> DataFrame:
+    from tillroll.operators.quality import table_counts as tc
+    return tc(_tables(shop))
+
+
+def constraint_violations(shop: Shop) -> DataFrame:
+    from tillroll.operators.quality import constraint_violations as cv
+    return cv(_tables(shop), ADAPTER_RULES)
+
+
+def apply_defaults(shop: Shop) -> DataFrame:
+    """Orders of the adapter (no discount column) with the declared default filled in."""
+    from pyspark.sql import functions as F
+    from tillroll.functions.dates import iso_datetime
+    from tillroll.functions.numeric import to_double
+    from tillroll.operators.quality import apply_defaults as ad
+    o = ad(shop.orders, "orders")
+    return o.select("order_id", "customer_id", "status", "channel",
+                    iso_datetime(F.col("ordered_at")).alias("ordered_at"),
+                    to_double(F.col("discount_pct")).alias("discount_pct"))
+
+
+def _roundtrip(kind: str, report: Callable[[Shop], DataFrame]):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tillroll.sources import sinks
+        apply_required_conf(spark)
+        ensure_checkpoint_dir(spark, scratch_if_unset=True)
+        df = report(star_tables(spark, sf_dir))
+        path = sinks.shared_path(spark, kind)
+        if kind == "csv":
+            sinks.export_csv(df, path)
+            return sinks.import_csv(spark, path, df.schema)
+        if kind == "json":
+            sinks.export_json(df, path)
+            return sinks.import_json(spark, path, df.schema)
+        name = f"tillroll_{report.__name__}"
+        return sinks.load_warehouse_table(df, name, path)
+    return run
+
+
+def synth_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generated orders for the driver's customer ids (size follows the tables)."""
+    from pyspark.sql import functions as F
+    from tillroll.functions.dates import iso_datetime
+    from tillroll.sources.synth import synth_shop
+    apply_required_conf(spark)
+    ids = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
+    shop = synth_shop(spark, ids)
+    return shop.orders.select("order_id", "customer_id", "status", "channel",
+                              iso_datetime(F.col("ordered_at")).alias("ordered_at"))
+
+
+for _f in (sales_lines, table_counts, constraint_violations, apply_defaults):
+    REPORTS[_f.__name__] = _f
+
+EXTRA.update({
+    "export_csv": _roundtrip("csv", revenue.revenue_trend_export),
+    "import_csv": _roundtrip("csv", clv.segment_clv_export),
+    "export_json": _roundtrip("json", kpi_summary),
+    "import_json": _roundtrip("json", marketing.marketing_roi_export),
+    "load_warehouse_table": _roundtrip("table", channel.channel_performance_export),
+    "synth_shop": synth_orders,
+})
