@@ -52,18 +52,30 @@ def round_div(num: Column, den: Column, digits: int, factor: int = 1,
     (2 for money, 0 for counts). NULL when ``den`` is 0 or NULL (the NULLIF
     guard of the reference). Result is DOUBLE.
     """
-    a = _scaled_int(num, num_scale) * F.lit(factor * 10 ** digits)
-    b = _scaled_int(den, den_scale)
+    a, b = _operands(num, den, digits, factor, num_scale, den_scale)
     q = exact_int_div(F.abs(a) * 2 + F.abs(b), F.abs(b) * 2)
     signed = F.when((a < 0) != (b < 0), -q).otherwise(q)
     return F.when(b != 0, signed.cast(T.DoubleType()) / F.lit(float(10 ** digits)))
 
 
+def _operands(num: Column, den: Column, digits: int, factor: int, num_scale: int,
+              den_scale: int) -> tuple[Column, Column]:
+    """Integers A, B with A / B = factor * num / den * 10**digits.
+
+    num = N / 10**num_scale and den = M / 10**den_scale for integers N, M, so
+    A = N * factor * 10**(digits + den_scale) and B = M * 10**num_scale.
+    """
+    a = _scaled_int(num, num_scale) * F.lit(factor * 10 ** (digits + den_scale))
+    b = _scaled_int(den, den_scale)
+    if num_scale:
+        b = b * F.lit(10 ** num_scale)
+    return a, b
+
+
 def round_div_decimal(num: Column, den: Column, digits: int,
                       num_scale: int = 0, den_scale: int = 0) -> Column:
     """Like :func:`round_div` but returns DECIMAL(38, digits) (exact)."""
-    a = _scaled_int(num, num_scale) * F.lit(10 ** digits)
-    b = _scaled_int(den, den_scale)
+    a, b = _operands(num, den, digits, 1, num_scale, den_scale)
     q = exact_int_div(F.abs(a) * 2 + F.abs(b), F.abs(b) * 2)
     signed = F.when((a < 0) != (b < 0), -q).otherwise(q).cast(_INT)
     return F.when(b != 0, (signed / F.lit(10 ** digits)).cast(T.DecimalType(38, digits)))
