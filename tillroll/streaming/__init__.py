@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reports are batch jobs over whole tables (the workload they come from has
+no stream, watermark or state). Re-running a report on new data is a batch
+run of the same function.
+"""
