@@ -40,7 +40,7 @@ from collections import Counter
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -144,7 +144,7 @@ class _Plan:
 
 
 def _plan(base: DataFrame, specs: list[OrderSpec], tiebreak: str | None, buckets: int,
-          tag: str) -> tuple[DataFrame, list[_Plan]]:
+          tag: str, materialize: bool = False) -> tuple[DataFrame, list[_Plan]]:
     b = buckets
     probs = [i / b for i in range(1, b)]
     accuracy = max(10000, 20 * b)
@@ -154,12 +154,21 @@ def _plan(base: DataFrame, specs: list[OrderSpec], tiebreak: str | None, buckets
     types = [work.schema[c].dataType for c in cols]
     tie_type = work.schema[tiebreak].dataType if tiebreak else None
 
-    # Job 1: quantiles, row count and NULL count of every sort key.
+    # Job 1: quantiles, row count and NULL count of every sort key. When the
+    # input is materialised they are observed while the checkpoint is written.
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(cols):
         aggs += [F.percentile_approx(c, probs, accuracy).alias(f"q{i}"),
                  F.count(F.when(F.col(c).isNull(), 1)).alias(f"z{i}")]
-    row = work.agg(*aggs).first()
+    if materialize and ensure_checkpoint_dir(work.sparkSession):
+        seen = Observation()
+        work = work.observe(seen, *aggs).checkpoint(eager=True)
+        row = seen.get
+    else:
+        if materialize:
+            warnings.warn("spark.checkpoint.dir is not set: the input of a global ordering is "
+                          "not materialised (results stay exact, upstream work repeats)")
+        row = work.agg(*aggs).first().asDict()
     n = row["n"]
     slot = max(1, n // b)
     layout = []
@@ -295,14 +304,13 @@ def global_orders(df: DataFrame, specs: list[OrderSpec], *, tiebreak: str | None
     ``{prefix}n`` and, with ``sum_col``, ``{prefix}running_sum`` (ROWS frame up
     to the current row) and ``{prefix}grand_total``.
 
-    Order: ``key`` then ``tiebreak`` ASC. The input is read by three small
-    jobs and the final plan; with ``materialize`` it is first checkpointed to
-    the shared folder named by ``spark.checkpoint.dir`` so that its upstream
-    runs once.
+    Order: ``key`` then ``tiebreak`` ASC. The input is read by up to three
+    small jobs and the final plan; with ``materialize`` it is first
+    checkpointed to the shared folder named by ``spark.checkpoint.dir`` (the
+    quantiles are observed during that write), so its upstream runs once.
     """
-    base = checkpointed(df, materialize)
     b = buckets or default_buckets(df)
-    work, plans = _plan(base, specs, tiebreak, b, tag)
+    work, plans = _plan(df, specs, tiebreak, b, tag, materialize)
     out = work
     drop = []
     for p in plans:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.dates import iso_date
 from tillroll.functions.numeric import round_div, to_double
-from tillroll.operators.ordering import checkpointed, global_ntiles
+from tillroll.operators.ordering import global_ntiles
 from tillroll.plans.customers import customer_orders, snapshot, with_attributes
 from tillroll.sources.schema import RFM_LABELS_DETAIL, RFM_LABELS_EXPORT
 from tillroll.sources.tables import Shop
@@ -57,15 +57,15 @@ def customer_rfm_scores_exact(shop: Shop, scores: str = AS_WRITTEN,
     """Metrics plus the three tiles.
 
     The customer metrics are materialised once (checkpoint to the shared
-    folder); the three orderings share their planning jobs and add one
-    shuffle and window each.
+    folder, quantiles observed on the way); the three orderings share their
+    planning jobs and add one shuffle and window each.
     """
     flip = scores == FIVE_IS_BEST
-    m = checkpointed(customer_rfm_metrics_exact(shop))
-    return global_ntiles(m, [("recency_days", flip, "r_score"),
-                             ("frequency", not flip, "f_score"),
-                             ("monetary", not flip, "m_score")],
-                         5, tiebreak="customer_id", buckets=buckets, materialize=False)
+    return global_ntiles(customer_rfm_metrics_exact(shop),
+                         [("recency_days", flip, "r_score"),
+                          ("frequency", not flip, "f_score"),
+                          ("monetary", not flip, "m_score")],
+                         5, tiebreak="customer_id", buckets=buckets)
 
 
 def customer_rfm_scores(shop: Shop, scores: str = AS_WRITTEN) -> DataFrame:

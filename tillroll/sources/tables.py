@@ -83,6 +83,19 @@ def _status(orderstatus, orderkey):
                   F.when(orderkey % 2 == 0, "cancelled").otherwise("pending")))
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the session has task slots.
+
+    A file with one row group is read by one task, and everything up to the
+    first shuffle (casts, pre-aggregation) would run there too. Large inputs
+    have many splits and are returned unchanged (no extra shuffle).
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 _STAR_CACHE: dict[tuple[str, str], Shop] = {}
 
 
@@ -110,7 +123,7 @@ def _star_tables(spark: SparkSession, sf_dir: str) -> Shop:
     products   <- part (category = p_type), spend <- events by month, type
     """
     def rd(t: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{t}.parquet")
+        return spread_small_input(spark.read.parquet(f"{sf_dir}/{t}.parquet"))
 
     nation = rd("nation").select("n_nationkey", "n_name", "n_regionkey")
     region = rd("region").select("r_regionkey", "r_name")
