@@ -100,6 +100,7 @@ def kpi_summary(trend: DataFrame, products: DataFrame, channels: DataFrame) -> D
              .limit(1).select(F.col("product").alias("top_product")))
     top_c = (channels.orderBy(F.col("net_revenue").desc_nulls_last(), "channel")
              .limit(1).select(F.col("channel").alias("top_channel")))
+    # three global aggregates of one row each: joining them is 1 x 1 x 1
     return (totals.crossJoin(F.broadcast(top_p)).crossJoin(F.broadcast(top_c)))
 
 

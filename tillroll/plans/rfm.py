@@ -34,7 +34,7 @@ def snapshot_date(shop: Shop) -> DataFrame:
 def customer_rfm_metrics_exact(shop: Shop) -> DataFrame:
     per_customer = with_attributes(customer_orders(shop), shop,
                                    "full_name", "city", "segment", "referral_src")
-    snap = snapshot(shop)  # one row
+    snap = snapshot(shop)  # a global aggregate: exactly one row, so the cross join is N x 1
     return per_customer.crossJoin(F.broadcast(snap)).select(
         "customer_id", "full_name", "city", "segment", "referral_src",
         F.datediff(F.col("snapshot_date"), F.col("last_order")).cast("bigint").alias("recency_days"),

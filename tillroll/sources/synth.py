@@ -175,13 +175,16 @@ def synth_shop(spark: SparkSession, customer_ids: DataFrame | None = None,
                  (F.col("unit_price") * (F.lit(1) - F.col("discount_pct"))).cast(S.MONEY).alias("unit_price"),
                  F.col("unit_cost").cast(S.MONEY).alias("unit_cost")))
 
-    months = spark.range(0, 24).select(
+    # 24 months x 5 channels: both lists are fixed, expanded with explode.
+    grid = (spark.range(0, 24).select(
         F.date_format(F.add_months(start, F.col("id").cast("int")), "yyyy-MM").alias("month"),
-        F.col("id").alias("m"))
-    base = spark.createDataFrame(SPEND_BASE, "channel string, base int")
+        F.col("id").alias("m"),
+        F.explode(F.array(*[F.struct(F.lit(c).alias("channel"), F.lit(b).alias("base"))
+                            for c, b in SPEND_BASE])).alias("cb"))
+        .select("month", "m", F.col("cb.channel").alias("channel"), F.col("cb.base").alias("base")))
     lo, hi = SPEND_FACTOR
-    spend = (months.crossJoin(base)   # 24 x 5 fixed rows
-             .select((F.col("m") * 8 + F.xxhash64("channel") % 8).alias("spend_id"), "month", "channel",
+    spend = (grid
+             .select((F.col("m") * 8 + F.pmod(F.xxhash64("channel"), F.lit(8))).alias("spend_id"), "month", "channel",
                      F.round(F.col("base") * (F.lit(lo) + (hi - lo) * uniform(seed, "spend", F.col("month"),
                                                                              F.col("channel"))), 2)
                      .cast(S.MONEY).alias("spend_zar")))
