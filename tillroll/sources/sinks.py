@@ -53,3 +53,11 @@ def load_warehouse_table(df: DataFrame, table: str, path: str | None = None) ->
         writer = writer.option("path", path)
     writer.saveAsTable(table)
     return df.sparkSession.table(table)
+
+
+def save_tables(tables: dict[str, DataFrame], path: str, mode: str = "overwrite",
+                fmt: str = "parquet") -> None:
+    """Write every table to ``path/<name>``: ``overwrite`` drops and recreates,
+    ``append`` is a bulk insert."""
+    for name, df in tables.items():
+        df.write.mode(mode).format(fmt).save(f"{path}/{name}")

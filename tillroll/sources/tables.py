@@ -206,3 +206,20 @@ def _star_tables(spark: SparkSession, sf_dir: str) -> Shop:
     )
     return Shop(customers=customers, orders=orders, lines=lines, products=products,
                 categories=categories, spend=spend)
+
+
+def register_views(shop: Shop, prefix: str = "") -> list[str]:
+    """Expose the shop as temp views (``orders``, ``order_items`` ...) for SQL text.
+
+    Also registers ``sales_lines`` (lines joined to orders, discount and ship
+    time resolved), the one view that reads the same for native and adapter
+    layouts. Returns the view names.
+    """
+    from tillroll.operators.facts import sales_lines
+    names = []
+    for name in S.TABLES:
+        shop.table(name).createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    sales_lines(shop).createOrReplaceTempView(prefix + "sales_lines")
+    names.append(prefix + "sales_lines")
+    return names
