@@ -83,17 +83,22 @@ def _status(orderstatus, orderkey):
                   F.when(orderkey % 2 == 0, "cancelled").otherwise("pending")))
 
 
+SPREAD_MIN_BYTES = 1 << 20
+
+
 def spread_small_input(df: DataFrame) -> DataFrame:
     """Round-robin a scan that has fewer splits than the session has task slots.
 
     A file with one row group is read by one task, and everything up to the
     first shuffle (casts, pre-aggregation) would run there too. Large inputs
-    have many splits and are returned unchanged (no extra shuffle).
+    have many splits and tiny ones (under ``SPREAD_MIN_BYTES``) are not worth
+    a shuffle; both are returned unchanged.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
+    return df.repartition(slots) if size >= SPREAD_MIN_BYTES else df
 
 
 _STAR_CACHE: dict[tuple[str, str], Shop] = {}
