@@ -97,7 +97,7 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return df.repartition(slots) if size >= SPREAD_MIN_BYTES else df
 
 
