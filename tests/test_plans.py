@@ -45,3 +45,9 @@ def test_native_status_filter_reaches_parquet(spark, tmp_path):
     plan = revenue.revenue_trend(native)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(status), EqualTo(status,completed)" in plan
     assert revenue.revenue_trend(native).count() > 0
+
+
+def test_adapter_completed_filter_reaches_parquet(spark):
+    plan = _plan(spark, "revenue_trend")
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "orders.parquet" in line]
+    assert any("EqualNullSafe(o_orderstatus,F)" in s for s in scans), scans

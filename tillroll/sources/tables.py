@@ -77,10 +77,17 @@ def load_shop(spark: SparkSession, path: str, fmt: str = "parquet") -> Shop:
 # ---------------------------------------------------------------------------
 
 def _status(orderstatus, orderkey):
-    return (F.when(orderstatus == "F", "completed")
-            .when(orderstatus == "O", "returned")
-            .when(orderstatus == "P",
-                  F.when(orderkey % 2 == 0, "cancelled").otherwise("pending")))
+    """F -> completed, O -> returned, P -> cancelled (even key) or pending.
+
+    Written as nested single-branch CASEs on null-safe tests: the optimizer
+    then reduces ``status = 'completed'`` to ``o_orderstatus <=> 'F'``, which
+    reaches the Parquet reader as a pushed filter. (A NULL source status still
+    maps to NULL, and a NULL key to 'pending', as the plain CASE would.)
+    """
+    return F.when(orderstatus.eqNullSafe("F"), "completed").otherwise(
+        F.when(orderstatus.eqNullSafe("O"), "returned").otherwise(
+            F.when(orderstatus.eqNullSafe("P"),
+                   F.when((orderkey % 2).eqNullSafe(0), "cancelled").otherwise("pending"))))
 
 
 SPREAD_MIN_BYTES = 1 << 20
