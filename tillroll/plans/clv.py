@@ -6,7 +6,7 @@ averages* (S12); the prediction is avg(aov) * avg(orders) / (avg(lifespan) /
 are rounded per column.
 
 ``avg_order_value`` averages per-customer ratios spend / orders, which have no
-exact decimal form. Each ratio is truncated to ``RATIO_SCALE`` (1e-8 of a
+exact decimal form. Each ratio is truncated to ``RATIO_DIGITS`` below the cent (1e-8 of a
 Rand) as an integer and those integers are summed: the same exact numbers in
 any engine and any partitioning, unlike a sum of doubles.
 """
