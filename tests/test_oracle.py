@@ -14,6 +14,8 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 KEYS = sorted(E.oracle_sql())
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN", "date": "DATE"}
 
 
 def _norm(v):
@@ -44,6 +46,10 @@ def test_query_matches_oracle(spark, duck, key):
     ocols = [d[0] for d in cur.description]
     want = cur.fetchall()
     assert sorted(cols) == sorted(ocols)
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {E.oracle_sql()[key]}").fetchall()}
+    for f in df.schema.fields:
+        spark_type = f.dataType.simpleString()
+        assert TYPES.get(spark_type, spark_type) == duck_types[f.name], (f.name, spark_type)
     assert len(got) == len(want)
     order = sorted(cols)
     assert _rows(cols, got, order) == _rows(ocols, want, order)
