@@ -82,3 +82,21 @@ def test_no_single_partition_exchange_for_rows(spark):
     out = global_ntiles(df, [("v", False, "t")], 5, tiebreak="id", buckets=8, materialize=False)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("buckets", [2, 3, 64])
+def test_bucket_count_does_not_change_results(spark, buckets):
+    df = _frame(spark, 600, "heavy", buckets)
+    w = Window.orderBy(F.col("v").desc_nulls_last(), F.col("id"))
+    exp = {r["id"]: (r["rn"], r["rk"]) for r in df.withColumn("rn", F.row_number().over(w)).withColumn(
+        "rk", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last()))).collect()}
+    got = global_order(df, "v", descending=True, tiebreak="id", buckets=buckets)
+    assert {r["id"]: (r["row_number"], r["rank"]) for r in got.collect()} == exp
+
+
+def test_nulls_first_on_descending(spark):
+    df = _frame(spark, 300, "few", 11)
+    w = Window.orderBy(F.col("v").desc_nulls_first(), F.col("id"))
+    exp = {r["id"]: r["rn"] for r in df.withColumn("rn", F.row_number().over(w)).collect()}
+    got = global_order(df, "v", descending=True, nulls_first=True, tiebreak="id", buckets=8)
+    assert {r["id"]: r["row_number"] for r in got.collect()} == exp
