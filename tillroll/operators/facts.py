@@ -101,7 +101,11 @@ def order_product_totals(shop: Shop, status: str | None = COMPLETED) -> DataFram
     Columns: order_id, product_id, n_lines, units, revenue, profit,
     price_sum (sum of unit prices, for the average selling price).
     """
-    per_pair = shop.lines.groupBy("order_id", "product_id").agg(
+    keys = _orders(shop, status).select("order_id")
+    # Semi join first: a sort-merge join leaves the lines partitioned by
+    # order_id, which the (order, product) aggregate reuses (one shuffle).
+    kept = shop.lines.join(keys, "order_id", "left_semi")
+    return kept.groupBy("order_id", "product_id").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("quantity").alias("units"),
         F.sum("line_revenue").alias("revenue"),
@@ -109,5 +113,3 @@ def order_product_totals(shop: Shop, status: str | None = COMPLETED) -> DataFram
         F.sum("unit_price").alias("price_sum"),
         F.count("unit_price").alias("price_n"),
     )
-    keys = _orders(shop, status).select("order_id")
-    return per_pair.join(keys, "order_id", "left_semi")
