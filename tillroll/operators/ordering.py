@@ -48,6 +48,7 @@ from tillroll.session import ensure_checkpoint_dir
 
 _DIV = "div"
 _SUM_TYPE = T.DecimalType(38, 10)
+ROWS_PER_BUCKET = 100_000
 
 
 @dataclass(frozen=True)
@@ -170,10 +171,19 @@ def _plan(base: DataFrame, specs: list[OrderSpec], tiebreak: str | None, buckets
                           "not materialised (results stay exact, upstream work repeats)")
         row = work.agg(*aggs).first().asDict()
     n = row["n"]
+    # Thin the boundaries when the input is small: about one bucket per
+    # ROWS_PER_BUCKET rows, never fewer than 16, never more than planned.
+    wanted_b = min(b, max(16, -(-n // ROWS_PER_BUCKET)))
+    quantiles = [row[f"q{i}"] or [] for i in range(len(specs))]
+    if wanted_b < b:
+        pick = [round(j * b / wanted_b) - 1 for j in range(1, wanted_b)]
+        quantiles = [[q[k] for k in pick if k < len(q)] for q in quantiles]
+        b = wanted_b
+        probs = [i / b for i in range(1, b)]
     slot = max(1, n // b)
     layout = []
     for i in range(len(specs)):
-        counts = Counter(v for v in (row[f"q{i}"] or []) if v is not None)
+        counts = Counter(v for v in quantiles[i] if v is not None)
         distinct = sorted(counts)
         heavy = {v: c for v, c in counts.items() if c >= 2}
         nulls = row[f"z{i}"]
