@@ -121,6 +121,29 @@ def _lower_bound(arr: str, value: str, max_len: int) -> str:
             f"acc), acc -> acc.lo)")
 
 
+_TREE_MAX = 1024
+
+
+def _lower_bound_col(values: list, col: str, dtype: T.DataType, arr_sql: str) -> Column:
+    """Number of ``values`` (sorted, distinct) that are < ``col``.
+
+    Up to ``_TREE_MAX`` boundaries this is a balanced CASE tree over literals
+    (whole-stage code generation, no per-row allocation); beyond that the
+    binary search runs as a higher-order function over the literal array.
+    """
+    if len(values) > _TREE_MAX:
+        return F.expr(_lower_bound(arr_sql, col, len(values)))
+    lits = [F.expr(_lit(v, dtype)) for v in values]
+    v = F.col(col)
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(v > lits[mid], tree(mid + 1, hi)).otherwise(tree(lo, mid))
+    return tree(0, len(values))
+
+
 def _even_pick(qs: list, ranges: int) -> list:
     """``ranges - 1`` evenly spaced elements of a quantile list (distinct, sorted)."""
     if not qs or ranges < 2:
@@ -226,9 +249,9 @@ def _plan(base: DataFrame, specs: list[OrderSpec], tiebreak: str | None, buckets
         distinct, heavy, null_ranges = layout[i]
         m = len(distinct)
         arr = _array(distinct, types[i])
-        lb_sql = _lower_bound(arr, c, m)
-        lb = F.expr(lb_sql)
-        is_point = F.expr(f"coalesce(({lb_sql}) < {m} AND try_element_at({arr}, ({lb_sql}) + 1) = {c}, false)")
+        lb = _lower_bound_col(distinct, c, types[i], arr)
+        is_point = (F.coalesce((lb < F.lit(m)) & (F.try_element_at(F.expr(arr), lb + 1) == F.col(c)),
+                               F.lit(False)) if m else F.lit(False))
         if tiebreak:
             width = max([len(v) for v in splits[i].values()] + [len(null_splits[i]), 0]) + 1
             submap = _map(list(splits[i]), [_array(splits[i][k], tie_type) for k in splits[i]],
