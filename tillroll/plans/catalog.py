@@ -1,186 +1,185 @@
-"""Registry: query key -> function of a :class:`Shop` returning a lazy DataFrame."""
+"""Registry: query key -> callable ``(spark, sf_dir) -> DataFrame``.
+
+Most keys are functions of a :class:`Shop` (the driver's tables seen through
+the adapter); the sink keys write a report and read it back, and the
+generator key draws shop data for the driver's customer ids.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tillroll.functions.dates import iso_datetime
+from tillroll.functions.numeric import to_double
+from tillroll.operators import facts, quality, shape
 from tillroll.plans import channel, clv, cohort, marketing, product, revenue, rfm
 from tillroll.session import apply_required_conf, ensure_checkpoint_dir
+from tillroll.sources import schema as S
+from tillroll.sources import sinks
+from tillroll.sources.synth import synth_shop
 from tillroll.sources.tables import Shop, star_tables
 
-REPORTS: dict[str, Callable[[Shop], DataFrame]] = {
-    "revenue_trend": revenue.revenue_trend,
-    "revenue_trend_export": revenue.revenue_trend_export,
-    "monthly_revenue": revenue.monthly_revenue,
-    "monthly_growth": revenue.monthly_growth,
-    "rfm_segments": rfm.rfm_segments,
-    "rfm_segments_five_is_best": rfm.rfm_segments_five_is_best,
-    "rfm_segments_export": rfm.rfm_segments_export,
-    "snapshot_date": rfm.snapshot_date,
-    "customer_rfm_metrics": rfm.customer_rfm_metrics,
-    "customer_rfm_scores": rfm.customer_rfm_scores,
-    "customer_rfm_labels": rfm.customer_rfm_labels,
-    "cohort_retention": cohort.cohort_retention,
-    "cohort_retention_export": cohort.cohort_retention_export,
-    "first_purchase": cohort.first_purchase,
-    "customer_month_index": cohort.customer_month_index,
-    "cohort_size": cohort.cohort_size,
-    "product_pareto": product.product_pareto,
-    "product_performance_export": product.product_performance_export,
-    "product_revenue": product.product_revenue,
-    "channel_quality": channel.channel_quality,
-    "channel_performance_export": channel.channel_performance_export,
-    "marketing_roi": marketing.marketing_roi,
-    "marketing_roi_export": marketing.marketing_roi_export,
-    "channel_revenue": marketing.channel_revenue,
-    "channel_spend": marketing.channel_spend,
-    "segment_clv": clv.segment_clv,
-    "segment_clv_export": clv.segment_clv_export,
-    "customer_clv": clv.customer_clv,
-}
+ShopReport = Callable[[Shop], DataFrame]
+Query = Callable[[SparkSession, str], DataFrame]
 
 
-def register(name: str, fn: Callable[[Shop], DataFrame]) -> None:
-    REPORTS[name] = fn
-
-
-def shop_query(fn: Callable[[Shop], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        apply_required_conf(spark)
-        ensure_checkpoint_dir(spark, scratch_if_unset=True)
-        return fn(star_tables(spark, sf_dir))
-    run.__name__ = getattr(fn, "__name__", "query")
-    run.__doc__ = fn.__doc__
-    return run
-
-
-def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """Every registered key as ``(spark, sf_dir) -> DataFrame`` over the driver's tables."""
-    out = {k: shop_query(f) for k, f in REPORTS.items()}
-    out.update(EXTRA)
-    return out
-
-
-# Keys whose callable needs more than a Shop (sinks, generator, table checks).
-EXTRA: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-
+# --- post-processing of the export reports ----------------------------------
 
 def cohort_matrix(shop: Shop) -> DataFrame:
-    from tillroll.operators.shape import cohort_matrix as cm
-    return cm(cohort.cohort_retention_export(shop), range(0, 6), "retention_pct")
+    return shape.cohort_matrix(cohort.cohort_retention_export(shop), range(0, 6), "retention_pct")
 
 
 def top_products(shop: Shop) -> DataFrame:
-    from tillroll.operators.shape import top_products as tp
-    return tp(product.product_performance_export(shop))
+    return shape.top_products(product.product_performance_export(shop))
 
 
 def paid_channels(shop: Shop) -> DataFrame:
-    from tillroll.operators.shape import paid_channels as pc
-    return pc(marketing.marketing_roi_export(shop))
+    return shape.paid_channels(marketing.marketing_roi_export(shop))
 
 
 def return_flags(shop: Shop) -> DataFrame:
-    from tillroll.operators.shape import return_flags as rf
-    return rf(channel.channel_performance_export(shop))
+    return shape.return_flags(channel.channel_performance_export(shop))
 
 
 def kpi_summary(shop: Shop) -> DataFrame:
-    from tillroll.operators.shape import kpi_summary as ks
-    return ks(revenue.revenue_trend_export(shop), product.product_performance_export(shop),
-              channel.channel_performance_export(shop))
+    return shape.kpi_summary(revenue.revenue_trend_export(shop),
+                             product.product_performance_export(shop),
+                             channel.channel_performance_export(shop))
 
 
 def display_labels(shop: Shop) -> DataFrame:
-    from tillroll.operators.shape import display_labels as dl
-    return dl(kpi_summary(shop))
+    return shape.display_labels(kpi_summary(shop))
 
 
 def report_stats(shop: Shop) -> DataFrame:
-    from tillroll.operators.shape import report_stats as rs
-    return rs(revenue.revenue_trend_export(shop), rfm.rfm_segments_export(shop),
-              cohort.cohort_retention_export(shop), product.product_performance_export(shop),
-              channel.channel_performance_export(shop), marketing.marketing_roi_export(shop),
-              clv.segment_clv_export(shop))
-
-
-for _f in (cohort_matrix, top_products, paid_channels, return_flags, kpi_summary, display_labels,
-           report_stats):
-    REPORTS[_f.__name__] = _f
+    return shape.report_stats(
+        revenue.revenue_trend_export(shop), rfm.rfm_segments_export(shop),
+        cohort.cohort_retention_export(shop), product.product_performance_export(shop),
+        channel.channel_performance_export(shop), marketing.marketing_roi_export(shop),
+        clv.segment_clv_export(shop))
 
 
-# ---------------------------------------------------------------------------
-# Facts, data quality, sources and sinks
-# ---------------------------------------------------------------------------
-# The adapter has no item_id of its own: (order_id, item_id = line number) is
-# the natural key of a line, and spend is keyed by (month, channel).
-def _adapter_rule(t, k, c, a):
-    if (t, k) == ("order_items", "pk"):
-        return t, k, ("order_id", "item_id"), a
-    if (t, k) == ("marketing_spend", "pk"):
-        return t, k, ("month", "channel"), a
-    if (t, k) == ("order_items", "not_null"):   # cost is kept per line
-        return t, k, tuple("line_cost" if x == "unit_cost" else x for x in c), a
-    return t, k, c, a
-
-
-ADAPTER_RULES = [_adapter_rule(*r) for r in __import__("tillroll.sources.schema", fromlist=["RULES"]).RULES]
-
+# --- facts and data quality ---------------------------------------------------
 
 def sales_lines(shop: Shop) -> DataFrame:
-    from tillroll.functions.dates import iso_datetime
-    from tillroll.operators.facts import sales_lines as sl
-    from tillroll.functions.numeric import to_double
-    from pyspark.sql import functions as F
-    s = sl(shop)
+    """The wide line fact with SQLite-style datetime text and DOUBLE money."""
+    s = facts.sales_lines(shop)
+    money = ("unit_price", "line_revenue", "line_cost", "net_line_revenue", "line_profit")
     return s.select(
         "order_id", "item_id", "customer_id", "status", "channel",
         iso_datetime(F.col("ordered_at")).alias("ordered_at"),
         iso_datetime(F.col("shipped_at")).alias("shipped_at"),
         to_double(F.col("discount_pct")).alias("discount_pct"),
         "product_id", "quantity",
-        to_double(F.col("unit_price")).alias("unit_price"),
-        to_double(F.col("line_revenue")).alias("line_revenue"),
-        to_double(F.col("line_cost")).alias("line_cost"),
-        to_double(F.col("net_line_revenue")).alias("net_line_revenue"),
-        to_double(F.col("line_profit")).alias("line_profit"),
+        *[to_double(F.col(c)).alias(c) for c in money],
     )
 
 
+def _adapter_rule(table, kind, cols, arg):
+    """The adapter has no item id of its own: (order_id, line number) keys a line,
+    (month, channel) keys spend, and cost is kept per line."""
+    if (table, kind) == ("order_items", "pk"):
+        return table, kind, ("order_id", "item_id"), arg
+    if (table, kind) == ("marketing_spend", "pk"):
+        return table, kind, ("month", "channel"), arg
+    if (table, kind) == ("order_items", "not_null"):
+        return table, kind, tuple("line_cost" if c == "unit_cost" else c for c in cols), arg
+    return table, kind, cols, arg
+
+
+ADAPTER_RULES = [_adapter_rule(*r) for r in S.RULES]
+
+
 def _tables(shop: Shop) -> dict[str, DataFrame]:
-    from tillroll.sources.schema import TABLES
-    return {n: shop.table(n) for n in TABLES}
+    return {n: shop.table(n) for n in S.TABLES}
 
 
 def table_counts(shop: Shop) -> DataFrame:
-    from tillroll.operators.quality import table_counts as tc
-    return tc(_tables(shop))
+    return quality.table_counts(_tables(shop))
 
 
 def constraint_violations(shop: Shop) -> DataFrame:
-    from tillroll.operators.quality import constraint_violations as cv
-    return cv(_tables(shop), ADAPTER_RULES)
+    return quality.constraint_violations(_tables(shop), ADAPTER_RULES)
 
 
 def apply_defaults(shop: Shop) -> DataFrame:
     """Orders of the adapter (no discount column) with the declared default filled in."""
-    from pyspark.sql import functions as F
-    from tillroll.functions.dates import iso_datetime
-    from tillroll.functions.numeric import to_double
-    from tillroll.operators.quality import apply_defaults as ad
-    o = ad(shop.orders, "orders")
+    o = quality.apply_defaults(shop.orders, "orders")
     return o.select("order_id", "customer_id", "status", "channel",
                     iso_datetime(F.col("ordered_at")).alias("ordered_at"),
                     to_double(F.col("discount_pct")).alias("discount_pct"))
 
 
-def _roundtrip(kind: str, report: Callable[[Shop], DataFrame]):
+REPORTS: dict[str, ShopReport] = {
+    "revenue_trend": revenue.revenue_trend,
+    "revenue_trend_export": revenue.revenue_trend_export,
+    "monthly_revenue": revenue.monthly_revenue,
+    "monthly_growth": revenue.monthly_growth,
+    "rfm_segments": rfm.rfm_segments,
+    "rfm_segments_five_is_best": rfm.rfm_segments_five_is_best,
+    "rfm_segments_export": rfm.rfm_segments_export,
+    "snapshot_date": rfm.snapshot_date,
+    "customer_rfm_metrics": rfm.customer_rfm_metrics,
+    "customer_rfm_scores": rfm.customer_rfm_scores,
+    "customer_rfm_labels": rfm.customer_rfm_labels,
+    "cohort_retention": cohort.cohort_retention,
+    "cohort_retention_export": cohort.cohort_retention_export,
+    "first_purchase": cohort.first_purchase,
+    "customer_month_index": cohort.customer_month_index,
+    "cohort_size": cohort.cohort_size,
+    "product_pareto": product.product_pareto,
+    "product_performance_export": product.product_performance_export,
+    "product_revenue": product.product_revenue,
+    "channel_quality": channel.channel_quality,
+    "channel_performance_export": channel.channel_performance_export,
+    "marketing_roi": marketing.marketing_roi,
+    "marketing_roi_export": marketing.marketing_roi_export,
+    "channel_revenue": marketing.channel_revenue,
+    "channel_spend": marketing.channel_spend,
+    "segment_clv": clv.segment_clv,
+    "segment_clv_export": clv.segment_clv_export,
+    "customer_clv": clv.customer_clv,
+    "cohort_matrix": cohort_matrix,
+    "top_products": top_products,
+    "paid_channels": paid_channels,
+    "return_flags": return_flags,
+    "kpi_summary": kpi_summary,
+    "display_labels": display_labels,
+    "report_stats": report_stats,
+    "sales_lines": sales_lines,
+    "table_counts": table_counts,
+    "constraint_violations": constraint_violations,
+    "apply_defaults": apply_defaults,
+}
+
+
+def register(name: str, fn: ShopReport) -> None:
+    REPORTS[name] = fn
+
+
+# --- callables over the driver's tables ----------------------------------------
+
+def _prepare(spark: SparkSession) -> None:
+    apply_required_conf(spark)
+    ensure_checkpoint_dir(spark, scratch_if_unset=True)
+
+
+def shop_query(fn: ShopReport) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from tillroll.sources import sinks
-        apply_required_conf(spark)
-        ensure_checkpoint_dir(spark, scratch_if_unset=True)
+        _prepare(spark)
+        return fn(star_tables(spark, sf_dir))
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
+def _roundtrip(kind: str, report: ShopReport) -> Query:
+    """Write a report with a sink (under the shared folder) and read it back."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _prepare(spark)
         df = report(star_tables(spark, sf_dir))
         path = sinks.shared_path(spark, kind)
         if kind == "csv":
@@ -189,31 +188,32 @@ def _roundtrip(kind: str, report: Callable[[Shop], DataFrame]):
         if kind == "json":
             sinks.export_json(df, path)
             return sinks.import_json(spark, path, df.schema)
-        name = f"tillroll_{report.__name__}"
-        return sinks.load_warehouse_table(df, name, path)
+        return sinks.load_warehouse_table(df, f"tillroll_{report.__name__}", path)
     return run
 
 
 def synth_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generated orders for the driver's customer ids (size follows the tables)."""
-    from pyspark.sql import functions as F
-    from tillroll.functions.dates import iso_datetime
-    from tillroll.sources.synth import synth_shop
-    apply_required_conf(spark)
+    _prepare(spark)
     ids = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
     shop = synth_shop(spark, ids)
     return shop.orders.select("order_id", "customer_id", "status", "channel",
                               iso_datetime(F.col("ordered_at")).alias("ordered_at"))
 
 
-for _f in (sales_lines, table_counts, constraint_violations, apply_defaults):
-    REPORTS[_f.__name__] = _f
-
-EXTRA.update({
+# Keys whose callable needs more than a Shop.
+EXTRA: dict[str, Query] = {
     "export_csv": _roundtrip("csv", revenue.revenue_trend_export),
     "import_csv": _roundtrip("csv", clv.segment_clv_export),
     "export_json": _roundtrip("json", kpi_summary),
     "import_json": _roundtrip("json", marketing.marketing_roi_export),
     "load_warehouse_table": _roundtrip("table", channel.channel_performance_export),
     "synth_shop": synth_orders,
-})
+}
+
+
+def all_queries() -> dict[str, Query]:
+    """Every registered key as ``(spark, sf_dir) -> DataFrame`` over the driver's tables."""
+    out = {k: shop_query(f) for k, f in REPORTS.items()}
+    out.update(EXTRA)
+    return out
