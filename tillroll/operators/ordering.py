@@ -165,6 +165,7 @@ class _Plan:
     rank_off: str = ""
     sum_off: str | None = None
     n: int = 0
+    grand_total: object = None
 
 
 def _plan(base: DataFrame, specs: list[OrderSpec], tiebreak: str | None, buckets: int,
@@ -232,6 +233,7 @@ def _plan(base: DataFrame, specs: list[OrderSpec], tiebreak: str | None, buckets
         for p in parts[1:]:
             union = union.unionByName(p)
         # at most (#heavy values + 1) rows per ordering, each holding < b numbers
+        by_text = [{str(k): k for k in layout[i][1]} for i in range(len(specs))]
         for r in union.collect():
             i = r["i"]
             distinct, heavy, null_ranges = layout[i]
@@ -239,7 +241,9 @@ def _plan(base: DataFrame, specs: list[OrderSpec], tiebreak: str | None, buckets
             if r["v"] is None:
                 null_splits[i] = _even_pick(q, null_ranges)
             else:
-                key = _match(heavy, r["v"], types[i])
+                key = by_text[i].get(r["v"])
+                if key is None:
+                    key = _match(heavy, r["v"], types[i])
                 if key is not None:
                     splits[i][key] = _even_pick(q, heavy[key])
 
@@ -362,7 +366,7 @@ def global_orders(df: DataFrame, specs: list[OrderSpec], *, tiebreak: str | None
             before = F.expr(f"try_element_at({p.sum_off}, {p.bucket_col})")
             run = (F.when(before.isNull(), inside).when(inside.isNull(), before)
                    .otherwise(before + inside))
-            grand = getattr(p, "grand_total", None)
+            grand = p.grand_total
             out = (out.withColumn(f"{s.prefix}running_sum", run)
                    .withColumn(f"{s.prefix}grand_total",
                                F.expr(_lit(grand, _SUM_TYPE)) if grand is not None
