@@ -43,3 +43,18 @@ def test_generator_shape(spark):
     assert per_order.where("n <> d OR n > 3").count() == 0     # distinct products, 1-3 lines
     again = synth_shop(spark, n_customers=300, seed=42).orders
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, o.collect()))   # seeded
+
+
+def test_export_all_writes_every_report(spark, tmp_path):
+    from tillroll.plans.exports import EXPORTS, export_all
+    from tillroll.sources.tables import star_tables
+    from tillroll.plans import revenue as rev
+    shop = star_tables(spark, "/root/testdata/sf0.001")
+    out = str(tmp_path / "out")
+    stats = {(r.report, r.metric): r.value for r in export_all(shop, out).collect()}
+    for name in EXPORTS:
+        assert spark.read.option("header", True).csv(f"{out}/{name}").count() > 0
+    summary = spark.read.json(f"{out}/summary").collect()
+    assert len(summary) == 1 and summary[0].total_orders > 0
+    months = rev.revenue_trend_export(shop).count()
+    assert stats[("revenue_trend", "months")] == str(months)
