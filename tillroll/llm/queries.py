@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import simhash
+from tillroll.llm import simhash, substring
 from tillroll.llm.common import read_table
 
 
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     out = simhash.near_duplicates(docs, shingle=3, distance=2)
@@ -18,6 +23,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_substring": op4_substring,
     "op9_simhash": op9_simhash,
 }
 
