@@ -7,15 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import simhash, substring
+from tillroll.llm import langid, qualitynet, simhash, substring
 from tillroll.llm.common import read_table
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qualitynet.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = langid.identify(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     out = simhash.near_duplicates(docs, shingle=3, distance=2)
@@ -23,7 +32,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality": op3_quality,
     "op4_substring": op4_substring,
+    "op7_language": op7_language,
     "op9_simhash": op9_simhash,
 }
 
