@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import langid, qualitynet, simhash, substring
+import public_tokenizers
+
+from tillroll.llm import langid, qualitynet, simhash, substring, tokencount
 from tillroll.llm.common import read_table
 
 
@@ -31,11 +33,17 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(read_table(spark, sf_dir, "documents"),
+                                   public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_substring": op4_substring,
     "op7_language": op7_language,
     "op9_simhash": op9_simhash,
+    "op10_tokens": op10_tokens,
 }
 
 SQL: dict[str, str] = {}

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import map_arrow, text_bytes
+from tillroll.llm.common import fresh, map_arrow, text_bytes
 from tillroll.llm.convnet import ByteConvNet, cut
 
 
@@ -59,7 +59,8 @@ def apply_net(docs: DataFrame, net: ByteConvNet, finish, schema: str, size: int,
 
     The network's few tables (well under 1 MB, whatever the data) travel with the tasks.
     """
-    src = docs.select(*[F.col(f"`{c}`") for c in keep], text_bytes(F.col(f"`{text}`")).alias("__body"))
+    body, = fresh(docs, "body")
+    src = docs.select(*[F.col(f"`{c}`") for c in keep], text_bytes(F.col(f"`{text}`")).alias(body))
     kinds = "".join(f"`{c}` {src.schema[c].dataType.simpleString()}, " for c in keep)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
