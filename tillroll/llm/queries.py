@@ -9,10 +9,19 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tillroll.llm import langid, qualitynet, simhash, substring, tokencount
+from tillroll.llm import bpe, langid, qualitynet, simhash, substring, tokencount
 from tillroll.llm.common import read_table
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = bpe.encode(read_table(spark, sf_dir, "documents"), path)
+    return bpe.decode(ids, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qualitynet.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -39,6 +48,7 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
     "op3_quality": op3_quality,
     "op4_substring": op4_substring,
     "op7_language": op7_language,
