@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tillroll.llm import bpe, langid, qualitynet, simhash, substring, tokencount
+from tillroll.llm import bpe, chat, langid, linerules, qualitynet, simhash, substring, tokencount
 from tillroll.llm.common import read_table
 
 
@@ -31,11 +31,36 @@ def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def conversation_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of ``conversations`` as message events, and conversation -7, whose texts hold control strings."""
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], rows.schema)
+    return rows.unionByName(more).select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("event"),
+                                         "turn", "role", "text")
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = chat.read_back(chat.format_log(conversation_events(spark, sf_dir)))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss", "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns.cast("binary"), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        "formatted_chars")
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = langid.identify(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linerules.clean_lines(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", "n_kept_chars")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     out = simhash.near_duplicates(docs, shingle=3, distance=2)
@@ -51,9 +76,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_quality": op3_quality,
     "op4_substring": op4_substring,
+    "op6_chat": op6_chat,
     "op7_language": op7_language,
+    "op8_line_rules": op8_line_rules,
     "op9_simhash": op9_simhash,
     "op10_tokens": op10_tokens,
 }
 
-SQL: dict[str, str] = {}
+from tillroll.llm.sql import SQL  # noqa: E402, F401
