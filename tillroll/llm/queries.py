@@ -9,10 +9,21 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tillroll.llm import bpe, chat, langid, linerules, qualitynet, simhash, substring, tokencount
+from tillroll.llm import bpe, chat, decontaminate, langid, linerules, qualitynet, simhash, substring, tokencount, urlfilter
 from tillroll.llm.common import read_table
 
 
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+SPAM_TERMS = "casino|pills|bets|ads-track"
+
+
+def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list's single urls are those of pages on hosts with a spam term in their name."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    host, _ = urlfilter.host_and_path(F.col("url"))
+    return urlfilter.judge(pages, URL_RULES, pages.where(host.rlike(SPAM_TERMS)).select("url"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     ids = bpe.encode(read_table(spark, sf_dir, "documents"), path)
@@ -31,6 +42,10 @@ def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def conversation_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of ``conversations`` as message events, and conversation -7, whose texts hold control strings."""
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -73,9 +88,11 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_urls": op1_urls,
     "op2_bpe": op2_bpe,
     "op3_quality": op3_quality,
     "op4_substring": op4_substring,
+    "op5_decontamination": op5_decontamination,
     "op6_chat": op6_chat,
     "op7_language": op7_language,
     "op8_line_rules": op8_line_rules,

@@ -4,6 +4,23 @@ from __future__ import annotations
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Op 1: the four rules from longest to shortest; else listed urls, those on hosts with a spam term.
+OP1 = r"""
+WITH s AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM s),
+c AS (SELECT *, host || regexp_replace(path, '/+$', '') AS canonical FROM p),
+listed AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, 'casino|pills|bets|ads-track')),
+r AS (SELECT *, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM c)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+    WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict FROM r
+"""
+
 # Op 4: every 35-word window by its words; a word goes if a repeated window covers it.
 OP4 = rf"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
@@ -67,4 +84,4 @@ b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 SELECT *, NOT base_failed AND 50 * word_chars <= 100 * n_kept_chars AS kept FROM b
 """
 
-SQL: dict[str, str] = {"op4_substring": OP4, "op6_chat": OP6, "op8_line_rules": OP8}
+SQL: dict[str, str] = {"op1_urls": OP1, "op4_substring": OP4, "op6_chat": OP6, "op8_line_rules": OP8}
