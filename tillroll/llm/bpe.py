@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import Scratch, WindowHash, map_arrow, mix64, text_bytes
+from tillroll.llm.common import Scratch, WindowHash, map_arrow, mix64, row_key, text_bytes
 
 ROLL = 16             # bytes the rolling hash sees
 ONE_IN = 128          # of the white-space places, one in so many is a cut
@@ -256,10 +256,7 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
     """
     scratch = Scratch(docs.sparkSession)
     src = docs.select(
-        F.col(f"`{key}`").alias("key"),
-        F.coalesce(F.concat(F.lit("k"), F.col(f"`{key}`").cast("string")), F.lit("n")).alias("k"),
-        F.hash(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("th"),
-        text_bytes(F.col(f"`{text}`")).alias("body"))
+        F.col(f"`{key}`").alias("key"), *row_key(key, text), text_bytes(F.col(f"`{text}`")).alias("body"))
 
     def chunk(batch: pa.RecordBatch) -> dict:
         h, row, pos = [], [], []

@@ -103,6 +103,12 @@ def text_bytes(col) -> "F.Column":
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit("")).cast("binary")
 
 
+def row_key(key: str, text: str) -> list:
+    """Columns ``k`` and ``th`` that tell rows apart by key and text, null keys included."""
+    return [F.coalesce(F.concat(F.lit("k"), F.col(f"`{key}`").cast("string")), F.lit("n")).alias("k"),
+            F.hash(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("th")]
+
+
 # The order and the spread of a sum of products need well mixed 64-bit values.
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)

@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tillroll.llm.common import Scratch, WindowHash, fresh, map_arrow, mix64
+from tillroll.llm.common import Scratch, WindowHash, fresh, map_arrow, mix64, row_key
 
 _WORD = re.compile(r"\w+")
 _HASH = WindowHash(0xD1342543DE82EF95)
-SPREAD = 4
+SPREAD = 2
 BLOCK = 1_000_000
 MARGIN = 64           # words kept on either side of seed hits, and the gap that still joins two hits
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -143,13 +143,7 @@ def _score(pairs: DataFrame) -> DataFrame:
                      f"k string, th int, item_id {kind}, n_seeds bigint, score double", run)
 
 
-def row_key(key: str, text: str) -> list:
-    """Columns k and th that tell rows apart by key and text, null keys included."""
-    return [F.coalesce(F.concat(F.lit("k"), F.col(f"`{key}`").cast("string")), F.lit("n")).alias("k"),
-            F.hash(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("th")]
-
-
-def copies(docs: DataFrame, items: DataFrame, gram: int = 3, min_seeds: int = 2, threshold: float = 0.5,
+def copies(docs: DataFrame, items: DataFrame, gram: int = 3, min_seeds: int = 1, threshold: float = 0.5,
            key: str = "doc_id", text: str = "text") -> DataFrame:
     """(k, th, item_id, n_seeds, score): the best aligned item of every document that holds a copy.
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import Scratch, fresh, map_arrow, text_bytes
+from tillroll.llm.common import Scratch, fresh, map_arrow, row_key, text_bytes
 
 SEED = 42
 BLOCK = 1 << 16  # shingles whose bits are counted at once
@@ -182,6 +182,21 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             return label
 
 
+def _linked(docs: DataFrame, shingle: int, distance: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Written tables: (key, k, th, fp) of every row and (fp, root, component_id) of every fingerprint."""
+    scratch = Scratch(docs.sparkSession)
+    own = scratch.save(fingerprints(docs.select(F.col(f"`{key}`").alias("key"), *row_key(key, text),
+                                                F.col(f"`{text}`").alias("text")), shingle, out="fp"))
+    distinct = scratch.save(own.groupBy("fp").agg(F.min("key").alias("least")))
+    edges = scratch.save(links(distinct, distance))
+    label = components(edges, scratch)
+    member = distinct.join(label, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = member.groupBy("root").agg(F.min("least").alias("component_id"))
+    names = scratch.save(member.join(named, "root").select("fp", "root", "component_id"))
+    scratch.drop(edges, label, distinct)
+    return own, names
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2,
                     key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, fingerprint (signed 64 bits), component_id.
@@ -193,16 +208,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2,
     gets a component but never names one (a component of null keys only has a
     null id). Other columns are not read. An empty table gives an empty result.
     """
-    scratch = Scratch(docs.sparkSession)
-    own = scratch.save(fingerprints(docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")),
-                                    shingle, out="fp"))
-    distinct = scratch.save(own.groupBy("fp").agg(F.min("key").alias("least")))
-    edges = scratch.save(links(distinct, distance))
-    label = components(edges, scratch)
-    member = distinct.join(label, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = scratch.save(member.join(named, "root").select("fp", "component_id"))
-    scratch.drop(edges, label, distinct)
+    own, names = _linked(docs, shingle, distance, key, text)
     # both sides are scans, so AQE may split the partition of a hot fingerprint
-    return own.join(names, "fp").select(
-        F.col("key").alias(key), F.col("fp").alias("fingerprint"), "component_id")
+    return own.join(names, "fp").select(F.col("key").alias(key), F.col("fp").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay when each group of linked documents keeps one, with all their columns.
+
+    The smallest key stays (a null key only if its group has no other; of rows with that key one text,
+    chosen by its hash); of rows with equal key and text one stays.
+    """
+    own, names = _linked(docs, shingle, distance, key, text)
+    first = own.join(names, "fp").groupBy("root").agg(
+        F.min(F.struct(F.col("key").isNull().alias("null"), "key", "th", "k")).alias("one"))
+    k, th = fresh(docs, "row_key", "row_hash")
+    stays = Scratch(docs.sparkSession).save(first.select(F.col("one.k").alias(k), F.col("one.th").alias(th)).distinct())
+    k_of, th_of = row_key(key, text)
+    marked = docs.select("*", k_of.alias(k), th_of.alias(th))
+    return marked.join(stays, [k, th], "left_semi").dropDuplicates([k, th]) \
+        .select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -60,14 +60,25 @@ def runs_of(words: list[bytes], window: int, gram: int):
     return grams[pos], run, first, count
 
 
-def _pack(docs: DataFrame) -> DataFrame:
-    """(key, th, body): the text as a zstd frame, which halves what a join moves."""
+def _pack(docs: DataFrame, *more: str) -> DataFrame:
+    """(key, th, body) and ``more``: the text as a zstd frame, which halves what a join moves."""
+    names = ["key", "th", "body", *more]
+
     def run(batch: pa.RecordBatch) -> dict:
         z = zstandard.ZstdCompressor(level=3)
-        return {"key": batch.column(0), "th": batch.column(1),
-                "body": [z.compress(b) for b in batch.column(2).to_pylist()]}
-    kind = docs.schema["key"].dataType.simpleString()
-    return map_arrow(docs.select("key", "th", "body"), f"key {kind}, th int, body binary", run)
+        return {c: batch.column(i) for i, c in enumerate(names)} | {
+            "body": [z.compress(b) for b in batch.column(2).to_pylist()]}
+    return map_arrow(docs.select(*names), ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in names), run)
+
+
+def _layout(body: bytes, keep: np.ndarray) -> bytes:
+    """The kept stretches of words as they stand in ``body``, one space between them."""
+    space = np.zeros(256, bool)
+    space[[9, 10, 11, 12, 13, 32]] = True
+    word = np.r_[False, ~space[np.frombuffer(body, np.uint8)], False]
+    start, end = np.flatnonzero(word[1:] & ~word[:-1]), np.flatnonzero(word[:-1] & ~word[1:])
+    edge = np.diff(np.r_[False, keep, False].astype(np.int8))
+    return b" ".join(body[a:b] for a, b in zip(start[np.flatnonzero(edge == 1)], end[np.flatnonzero(edge == -1) - 1]))
 
 
 def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = 35, gram: int = 8) -> DataFrame:
@@ -142,12 +153,13 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = 35, gram: in
 
 
 def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8,
-                   key: str = "doc_id", text: str = "text") -> DataFrame:
+                   key: str = "doc_id", text: str = "text", layout: bool = False) -> DataFrame:
     """``docs`` with every word removed that a repeated window covers.
 
     A window is ``window`` consecutive words of one document; it is repeated if
     the same words also start anywhere else in the input, the same document
-    included. ``text`` becomes the kept words joined by one space; the columns
+    included. ``text`` becomes the kept words joined by one space (with ``layout`` kept stretches stay as
+    they were, so that a text without repeats is unchanged); the columns
     ``n_words`` and ``n_removed`` are added (input columns of these names give way).
     Null and empty texts have no words and become empty. Repeated rows
     (equal key and text) are copies of each other, so their windows are repeats;
@@ -163,14 +175,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8,
                       F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest") if rest else F.lit(None).cast("int").alias("rest"))
     spans = repeated_spans(src, scratch, window, gram)
 
-    z = src.schema
-
-    def pack(batch: pa.RecordBatch) -> dict:
-        c = zstandard.ZstdCompressor(level=3)
-        return {"key": batch.column(0), "th": batch.column(1),
-                "body": [c.compress(b) for b in batch.column(2).to_pylist()], "rest": batch.column(3)}
-    kinds = {f: z[f].dataType.simpleString() for f in ("key", "rest")}
-    packed = map_arrow(src, f"key {kinds['key']}, th int, body binary, rest {kinds['rest']}", pack)
+    kinds = {f: src.schema[f].dataType.simpleString() for f in ("key", "rest")}
+    packed = _pack(src, "rest")
     joined = packed.alias("d").join(spans.alias("s"), F.expr("d.key <=> s.key AND d.th = s.th"), "left") \
         .select("d.key", "d.th", "d.body", "d.rest", "s.first", "s.words")
 
@@ -178,18 +184,21 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8,
         c = zstandard.ZstdDecompressor()
         kept, total, removed = [], [], []
         for body, first, words in zip(batch.column(2).to_pylist(), batch.column(4), batch.column(5)):
-            own = c.decompress(body).split()
-            n = len(own)
+            body = c.decompress(body)
+            own = body.split()
+            n = left = len(own)
             if first.is_valid:
                 f, w = first.values.to_numpy(), words.values.to_numpy()
                 depth = np.zeros(n + 1, np.int64)
                 np.add.at(depth, f, 1)
                 np.add.at(depth, f + w, -1)
                 keep = np.cumsum(depth[:-1]) == 0
+                left = int(keep.sum())
+                body = _layout(body, keep) if layout else body
                 own = [own[i] for i in np.flatnonzero(keep).tolist()]
-            kept.append(b" ".join(own))
+            kept.append(body if layout else b" ".join(own))
             total.append(n)
-            removed.append(n - len(own))
+            removed.append(n - left)
         return {"key": batch.column(0), "text": pa.array(kept, pa.binary()).cast(pa.string()), "n_words": total,
                 "n_removed": removed, "rest": batch.column(3)}
 
