@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from tillroll.llm import bpe, decontaminate, langid, simhash, substring
 from tillroll.llm.common import Scratch, read_table
 
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.3   # short texts of few letters score low with every language and stay
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; those without a letter, or with no language above even odds, go."""
+    """Documents whose language is recognised; those without a letter, or with no language above LEAST_SCORE, go."""
     rows = docs.select("doc_id", "text", "lang", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     out = langid.identify(rows, keep=["doc_id", "row"])
     good = out.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))

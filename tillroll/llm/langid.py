@@ -18,6 +18,7 @@ from tillroll.llm.textnet import apply_net, balanced, learn_sample, sample_windo
 
 SIZE, STEP = 128, 124          # bytes of a window; the widest filter sees every place
 WIDTHS = {2: 8, 3: 8, 4: 8}
+STEPS = 120_000                # windows a training shows at least, small samples again and again
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -42,7 +43,8 @@ def fit(docs: DataFrame, usable, key: str = "doc_id", text: str = "text", lang:
     if not names:
         return LanguageModel(None, [])
     y = np.array([names.index(v) for v in y])
-    return LanguageModel(ByteConvNet(WIDTHS, len(names)).fit(x, y, balanced(y), epochs=8), names)
+    return LanguageModel(ByteConvNet(WIDTHS, len(names)).fit(
+        x, y, balanced(y), epochs=max(8, -(-STEPS // len(x)))), names)
 
 
 def predict(docs: DataFrame, model: LanguageModel, keep: list[str], text: str = "text") -> DataFrame:
