@@ -11,9 +11,11 @@ import math
 import pytest
 
 import __spark_entry__ as E
+from tillroll.plans.catalog import all_queries
+from tillroll.plans.oracle import SQL
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(E.oracle_sql())
+KEYS = sorted(SQL)
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
          "boolean": "BOOLEAN", "date": "DATE"}
 
@@ -32,7 +34,7 @@ def _rows(cols, rows, order):
 
 
 def test_every_query_has_sql():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(all_queries()) - set(SQL)
     # only the generator has no SQL form (hash-seeded draws)
     assert missing == {"synth_shop"}
 

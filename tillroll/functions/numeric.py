@@ -32,6 +32,11 @@ def round_money(c: Column, digits: int = 2) -> Column:
     return F.round(c, digits).cast(T.DoubleType())
 
 
+def round_near(c: Column, digits: int) -> Column:
+    """ROUND of a DOUBLE that has no exact form, nudged off ties so that engines agree."""
+    return F.round(c + F.signum(c) * F.lit(1e-9), digits)
+
+
 def _scaled_int(c: Column, scale: int) -> Column:
     """Exact integer value of ``c * 10**scale`` (c has at most ``scale`` decimals)."""
     if scale:

@@ -16,10 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.dates import micros_between
+from tillroll.functions.dates import epoch_micros, micros_between
 from tillroll.sources.tables import Shop
 
 COMPLETED = "completed"
+MICROS = "decimal(28,0)"   # sums of microseconds, which outgrow BIGINT; a sum of these is DECIMAL(38,0)
 
 
 def _per_line(shop: Shop, name: str) -> bool:
@@ -73,7 +74,7 @@ def order_totals(shop: Shop, status: str | None = None) -> DataFrame:
     if per_disc:
         aggs.append(F.sum(F.col("line_revenue") * (F.lit(1) - F.col("discount_pct"))).alias("net_revenue"))
     if per_ship:
-        aggs += [F.sum(F.unix_micros(F.col("shipped_at").cast("timestamp"))).alias("ship_at_micros"),
+        aggs += [F.sum(epoch_micros(F.col("shipped_at"))).alias("ship_at_micros"),
                  F.count("shipped_at").alias("ship_lines")]
     per_order = shop.lines.groupBy("order_id").agg(*aggs)
 
@@ -81,12 +82,12 @@ def order_totals(shop: Shop, status: str | None = None) -> DataFrame:
     joined = per_order.join(o, "order_id")
     net: Column = F.col("net_revenue") if per_disc else F.col("revenue") * (F.lit(1) - F.col("discount_pct"))
     if per_ship:
-        ship_micros = F.col("ship_at_micros") - F.col("ship_lines") * F.unix_micros(
-            F.col("ordered_at").cast("timestamp"))
+        ship_micros = (F.col("ship_at_micros") - F.col("ship_lines").cast("decimal(18,0)")
+                       * epoch_micros(F.col("ordered_at"))).cast(MICROS)
         ship_lines = F.col("ship_lines")
     else:
         gap = micros_between(F.col("shipped_at"), F.col("ordered_at"))
-        ship_micros = F.when(gap.isNotNull(), gap * F.col("n_lines"))
+        ship_micros = F.when(gap.isNotNull(), (gap * F.col("n_lines").cast("decimal(18,0)")).cast(MICROS))
         ship_lines = F.when(gap.isNotNull(), F.col("n_lines")).otherwise(F.lit(0).cast("bigint"))
     return joined.select(
         "order_id", "customer_id", "status", "channel", "ordered_at", "n_lines", "units",

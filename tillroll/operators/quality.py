@@ -2,8 +2,9 @@
 
 The reference declares PRIMARY KEY, UNIQUE, NOT NULL, CHECK ... IN and
 REFERENCES rules and lets the database enforce some of them on insert. Here
-they are a check job over tables of any size: each rule is one aggregate or
-one anti join, and the results (one row per rule) are unioned.
+they are a check job over tables of any size: the rules on a table's single rows
+share one aggregate, each key rule is one aggregate or anti join, and the results
+(one row per rule) are unioned.
 
 Violation counts:
   pk / unique   rows beyond the first per key value (NULL keys: pk counts
@@ -16,8 +17,9 @@ Violation counts:
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.sources import schema as S
@@ -33,54 +35,65 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def _column_rules(df: DataFrame, table: str, rules: list[tuple]) -> DataFrame | None:
+    """All rules on single rows of one table (not_null, check_in, NULL keys) in one aggregate over it."""
+    found = []
+
+    def rule(kind: str, cols, bad: Column | None) -> None:
+        count = F.lit(None).cast("bigint") if bad is None else F.count(F.when(bad, 1))
+        found.append((kind, ",".join(cols), count))
+
+    for kind, cols, arg in rules:
+        if kind == "pk":
+            rule("pk_not_null", cols, reduce(or_, [F.col(c).isNull() for c in cols]))
+        elif kind == "not_null":   # a column the frame lacks is reported as not checked
+            for c in cols:
+                rule(kind, [c], F.col(c).isNull() if c in df.columns else None)
+        elif kind == "check_in":
+            c = F.col(cols[0])
+            rule(kind, cols, c.isNotNull() & ~c.isin(list(arg)))
+    if not found:
+        return None
+    counted = df.agg(*[c.alias(f"v{i}") for i, (_, _, c) in enumerate(found)])
+    return counted.select(F.inline(F.array(*[
+        F.struct(F.lit(table).alias("table"), F.lit(kind).alias("rule"), F.lit(cols).alias("columns"),
+                 F.col(f"v{i}").alias("violations"), F.col(f"v{i}").isNotNull().alias("checked"))
+        for i, (kind, cols, _) in enumerate(found)])))
+
+
 def _result(table: str, rule: str, cols, counted: DataFrame) -> DataFrame:
     return counted.select(F.lit(table).alias("table"), F.lit(rule).alias("rule"),
                           F.lit(",".join(cols)).alias("columns"),
-                          F.col("violations").cast("bigint").alias("violations"))
+                          F.col("violations").cast("bigint").alias("violations"), F.lit(True).alias("checked"))
 
 
-def _check(tables: dict[str, DataFrame], table: str, kind: str, cols, arg) -> list[DataFrame]:
+def _key_rule(tables: dict[str, DataFrame], table: str, kind: str, cols, arg) -> DataFrame | None:
+    """One job for each pk, unique and fk rule."""
     df = tables[table]
     keys = [F.col(c) for c in cols]
     if kind in ("pk", "unique"):
         keyed = df.select(*keys)
         if kind == "unique":   # rows with a NULL key part never collide
-            keyed = keyed.where(reduce(lambda a, c: a & c, [k.isNotNull() for k in keys]))
-        dup = (keyed.groupBy(*cols).agg(F.count(F.lit(1)).alias("c"))
-               .agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("violations")))
-        out = [_result(table, kind, cols, dup)]
-        if kind == "pk":
-            any_null = reduce(lambda a, c: a | c, [k.isNull() for k in keys])
-            nulls = df.agg(F.count(F.when(any_null, 1)).alias("violations"))
-            out.append(_result(table, "pk_not_null", cols, nulls))
-        return out
-    if kind == "not_null":   # a column the frame does not have cannot be checked
-        return [_result(table, "not_null", [c], df.agg(
-            F.count(F.when(F.col(c).isNull(), 1)).alias("violations"))) for c in cols if c in df.columns]
-    if kind == "check_in":
-        c = cols[0]
-        return [_result(table, "check_in", cols, df.agg(
-            F.count(F.when(F.col(c).isNotNull() & ~F.col(c).isin(list(arg)), 1)).alias("violations")))]
+            keyed = keyed.where(reduce(and_, [k.isNotNull() for k in keys]))
+        return _result(table, kind, cols, keyed.groupBy(*cols).agg(F.count(F.lit(1)).alias("c"))
+                       .agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("violations")))
     if kind == "fk":
         parent_table, parent_col = arg
-        c = cols[0]
         parent = tables[parent_table].select(F.col(parent_col).alias("_parent")).distinct()
-        child = df.select(F.col(c).alias("_child")).where(F.col("_child").isNotNull())
+        child = df.select(keys[0].alias("_child")).where(F.col("_child").isNotNull())
         orphans = child.join(parent, child._child == parent._parent, "left_anti")
-        return [_result(table, "fk", cols, orphans.agg(F.count(F.lit(1)).alias("violations")))]
-    raise ValueError(f"unknown rule kind {kind}")
+        return _result(table, "fk", cols, orphans.agg(F.count(F.lit(1)).alias("violations")))
+    if kind not in ("not_null", "check_in"):
+        raise ValueError(f"unknown rule kind {kind}")
+    return None
 
 
 def constraint_violations(tables: dict[str, DataFrame], rules=None) -> DataFrame:
-    """One row per rule: table, rule, columns, violations."""
-    parts = []
-    for table, kind, cols, arg in (rules or S.RULES):
-        if table in tables:
-            parts += _check(tables, table, kind, cols, arg)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """One row per rule: table, rule, columns, violations, checked (false, with no count, if a column is missing)."""
+    rules = [r for r in (rules or S.RULES) if r[0] in tables]
+    parts = [_column_rules(tables[t], t, [r[1:] for r in rules if r[0] == t]) for t in dict.fromkeys(r[0] for r in rules)]
+    parts += [_key_rule(tables, *r) for r in rules]
+    return reduce(DataFrame.unionByName, [p for p in parts if p is not None])
 
 
 def apply_defaults(df: DataFrame, table: str) -> DataFrame:

@@ -12,6 +12,8 @@ value such as 2.65 may print as "2.6" there and "2.7" here.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,25 +122,23 @@ def display_labels(kpi: DataFrame) -> DataFrame:
 def report_stats(trend: DataFrame, rfm: DataFrame, cohort: DataFrame, products: DataFrame,
                  channels: DataFrame, roi: DataFrame, clv: DataFrame) -> DataFrame:
     """The runner's log figures as (report, metric, value) rows."""
-    def one(report: str, metric: str, df: DataFrame, value: Column) -> DataFrame:
-        return df.agg(value.cast("string").alias("value")).select(
-            F.lit(report).alias("report"), F.lit(metric).alias("metric"), "value")
-    top = (products.orderBy(F.col("revenue").desc_nulls_last(), "product", "category").limit(1))
+    def rows(report: str, df: DataFrame, **metrics: Column) -> DataFrame:
+        """One aggregate over the report, one row per metric."""
+        made = df.agg(*[v.cast("string").alias(m) for m, v in metrics.items()])
+        return made.select(F.inline(F.array(*[
+            F.struct(F.lit(report).alias("report"), F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])))
+
+    # the product with most revenue, then by name and category
+    first = F.min(F.struct(F.col("revenue").isNull().alias("null"), (-F.col("revenue")).alias("less"), "product",
+                           "category", F.col("revenue").cast("decimal(38,2)").alias("revenue")))
+    n = F.count(F.lit(1))
     parts = [
-        one("revenue_trend", "months", trend, F.count(F.lit(1))),
-        one("revenue_trend", "total_revenue", trend,
-            F.sum(F.col("net_revenue").cast("decimal(38,2)"))),
-        one("rfm_segments", "segments", rfm, F.count(F.lit(1))),
-        one("rfm_segments", "customers", rfm, F.sum("customers")),
-        one("cohort_retention", "cohorts", cohort, F.countDistinct("cohort_month")),
-        one("product_performance", "products", products, F.count(F.lit(1))),
-        one("product_performance", "top_product", top, F.first("product")),
-        one("product_performance", "top_revenue", top, F.first(F.col("revenue").cast("decimal(38,2)"))),
-        one("channel_performance", "channels", channels, F.count(F.lit(1))),
-        one("marketing_roi", "channels", roi, F.count(F.lit(1))),
-        one("segment_clv", "segments", clv, F.count(F.lit(1))),
+        rows("revenue_trend", trend, months=n, total_revenue=F.sum(F.col("net_revenue").cast("decimal(38,2)"))),
+        rows("rfm_segments", rfm, segments=n, customers=F.sum("customers")),
+        rows("cohort_retention", cohort, cohorts=F.countDistinct("cohort_month")),
+        rows("product_performance", products, products=n, top_product=first["product"], top_revenue=first["revenue"]),
+        rows("channel_performance", channels, channels=n),
+        rows("marketing_roi", roi, channels=n),
+        rows("segment_clv", clv, segments=n),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)

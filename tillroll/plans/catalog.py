@@ -7,6 +7,7 @@ generator key draws shop data for the driver's customer ids.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from tillroll.functions.dates import iso_datetime
 from tillroll.functions.numeric import to_double
 from tillroll.operators import facts, quality, shape
 from tillroll.plans import channel, clv, cohort, marketing, product, revenue, rfm
-from tillroll.session import apply_required_conf, ensure_checkpoint_dir
+from tillroll.session import delete_on_exit, ensure_checkpoint_dir
 from tillroll.sources import schema as S
 from tillroll.sources import sinks
 from tillroll.sources.synth import synth_shop
@@ -163,7 +164,6 @@ def register(name: str, fn: ShopReport) -> None:
 # --- callables over the driver's tables ----------------------------------------
 
 def _prepare(spark: SparkSession) -> None:
-    apply_required_conf(spark)
     ensure_checkpoint_dir(spark, scratch_if_unset=True)
 
 
@@ -182,13 +182,18 @@ def _roundtrip(kind: str, report: ShopReport) -> Query:
         _prepare(spark)
         df = report(star_tables(spark, sf_dir))
         path = sinks.shared_path(spark, kind)
+        delete_on_exit(spark, path)
         if kind == "csv":
             sinks.export_csv(df, path)
             return sinks.import_csv(spark, path, df.schema)
         if kind == "json":
             sinks.export_json(df, path)
             return sinks.import_json(spark, path, df.schema)
-        return sinks.load_warehouse_table(df, f"tillroll_{report.__name__}", path)
+        # a table of this call's own; its files outlive the dropped name until the application ends
+        table = f"tillroll_{report.__name__}_{uuid.uuid4().hex[:12]}"
+        schema = sinks.load_warehouse_table(df, table, path).schema
+        spark.sql(f"DROP TABLE {table}")
+        return spark.read.schema(schema).parquet(path)
     return run
 
 

@@ -39,7 +39,8 @@ def channel_stats(shop: Shop) -> DataFrame:
         F.sum(F.when(done, F.col("ship_lines"))).alias("_ship_lines"),
     ).withColumns({
         "avg_order_value": round_div(F.col("_rev"), F.col("_lines"), 2, num_scale=2),
-        "avg_days_to_ship": round_div(F.col("_ship"), F.col("_ship_lines") * F.lit(DAY_MICROS), 1),
+        "avg_days_to_ship": round_div(
+            F.col("_ship"), F.col("_ship_lines").cast("decimal(20,0)") * F.lit(DAY_MICROS), 1),
     })
 
 

@@ -6,33 +6,21 @@ averages* (S12); the prediction is avg(aov) * avg(orders) / (avg(lifespan) /
 are rounded per column.
 
 ``avg_order_value`` averages per-customer ratios spend / orders, which have no
-exact decimal form. Each ratio is truncated to ``RATIO_DIGITS`` below the cent (1e-8 of a
-Rand) as an integer and those integers are summed: the same exact numbers in
-any engine and any partitioning, unlike a sum of doubles.
+exact decimal form: they are averaged as doubles and rounded with a nudge off ties
+(``round_near``). The prediction is a quotient of three averages, also in
+doubles, so no product of sums can overflow.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillroll.functions.dates import iso_date
-from tillroll.functions.numeric import (exact_int_div, round_div, round_div_decimal, round_money,
-                                        to_double)
+from tillroll.functions.numeric import round_div, round_div_decimal, round_money, round_near, to_double
 from tillroll.plans.customers import customer_orders, lifespan, with_attributes
 from tillroll.sources.tables import Shop
 
-RATIO_DIGITS = 6  # extra digits below the cent
-_INT = T.DecimalType(38, 0)
-
-
-def truncated_ratio(spend_2dp: Column, count: Column) -> Column:
-    """floor(|spend| * 10**(2+RATIO_DIGITS) / count) with spend's sign, exact."""
-    n = (F.abs(spend_2dp) * F.lit(10 ** (2 + RATIO_DIGITS))).cast(_INT)
-    q = exact_int_div(n, count.cast(_INT)).cast(_INT)
-    return F.when(count != 0, F.when(spend_2dp < 0, -q).otherwise(q))
-
 
 def customer_clv_exact(shop: Shop) -> DataFrame:
     per_customer = with_attributes(customer_orders(shop), shop,
@@ -58,27 +46,23 @@ def _segment_exact(shop: Shop) -> DataFrame:
         F.count(F.lit(1)).alias("customers"),
         F.sum("total_spend").alias("_spend"),
         F.sum("order_count").alias("_orders"),
-        F.sum(truncated_ratio(F.col("total_spend"), F.col("order_count"))).alias("_ratio"),
-        F.count(truncated_ratio(F.col("total_spend"), F.col("order_count"))).alias("_ratio_n"),
+        F.avg(F.col("total_spend").cast("double") / F.col("order_count")).alias("_ratio"),
         F.sum("customer_lifespan_days").alias("_life"),
         F.max("total_spend").alias("_max"),
         F.min("total_spend").alias("_min"),
     )
-    scale = 10 ** (2 + RATIO_DIGITS)
     avg_clv_dec = F.col("_spend")  # rounded below
     return g.select(
         "segment", "customers",
         round_div(avg_clv_dec, F.col("customers"), 2, num_scale=2).alias("avg_clv"),
         round_div(F.col("_orders"), F.col("customers"), 1).alias("avg_orders"),
-        round_div(F.col("_ratio"), F.col("_ratio_n") * F.lit(scale), 2).alias("avg_order_value"),
+        round_near(F.col("_ratio"), 2).alias("avg_order_value"),
         round_div(F.col("_life"), F.col("customers"), 0).alias("avg_lifespan_days"),
         round_money(F.col("_max")).alias("max_clv"),
         round_money(F.col("_min")).alias("min_clv"),
-        # avg(aov) * avg(orders) / (avg(life) / 365)
-        #   = (ratio / (n_r * scale)) * (orders / n) * 365 / (life / n)
-        #   = ratio * orders * 365 / (n_r * scale * life)
-        round_div(F.col("_ratio") * F.col("_orders") * F.lit(365),
-                  F.col("_ratio_n") * F.lit(scale) * F.col("_life"), 2).alias("predicted_annual_clv"),
+        round_near(F.col("_ratio") * (F.col("_orders") / F.col("customers"))
+                   / F.nullif(F.col("_life") / F.col("customers") / F.lit(365.0), F.lit(0.0)), 2)
+        .alias("predicted_annual_clv"),
         F.round(F.col("_spend"), 2).alias("total_revenue"),
         # the same rounded avg_clv as an exact decimal, for the index
         round_div_decimal(avg_clv_dec, F.col("customers"), 2, num_scale=2).alias("_avg_clv_dec"),

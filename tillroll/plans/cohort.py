@@ -45,12 +45,13 @@ def customer_month_index(shop: Shop) -> DataFrame:
 
 def cohort_size(shop: Shop) -> DataFrame:
     """cohort_month, cohort_customers."""
-    return first_purchase(shop).groupBy("cohort_month").agg(
+    return first_purchase(shop).where("customer_id IS NOT NULL").groupBy("cohort_month").agg(
         F.count(F.lit(1)).alias("cohort_customers"))
 
 
 def _retention(shop: Shop, max_month: int) -> DataFrame:
-    pairs = (_completed(shop)
+    # a guest order (no customer) belongs to no cohort, as in the reference's join
+    pairs = (_completed(shop).where("customer_id IS NOT NULL")
              .select("customer_id", month_ordinal(F.col("ordered_at")).alias("m"))
              .distinct())
     first = F.min("m").over(Window.partitionBy("customer_id"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import shape
 from tillroll.plans import channel, clv, cohort, marketing, product, revenue, rfm
-from tillroll.session import apply_required_conf, ensure_checkpoint_dir
+from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources import sinks
 from tillroll.sources.tables import Shop, load_shop, star_tables
 
@@ -35,9 +35,12 @@ EXPORTS = {
 
 def export_all(shop: Shop, out_dir: str) -> DataFrame:
     """Write the seven exports and the KPI summary; return the log figures."""
-    frames = {name: fn(shop) for name, fn in EXPORTS.items()}
-    for name, df in frames.items():
+    spark = shop.orders.sparkSession
+    frames = {}
+    for name, fn in EXPORTS.items():   # each report runs once; what follows reads the files
+        df = fn(shop)
         sinks.export_csv(df, f"{out_dir}/{name}")
+        frames[name] = sinks.import_csv(spark, f"{out_dir}/{name}", df.schema)
     summary = shape.kpi_summary(frames["revenue_trend"], frames["product_performance"],
                                 frames["channel_performance"])
     sinks.export_json(summary, f"{out_dir}/summary")
@@ -53,7 +56,6 @@ def main(argv: list[str]) -> int:
         return 2
     spark = (SparkSession.builder.appName("tillroll-exports")
              .config("spark.ui.enabled", "false").getOrCreate())
-    apply_required_conf(spark)
     ensure_checkpoint_dir(spark)
     shop = load_shop(spark, argv[0]) if "--native" in argv else star_tables(spark, argv[0])
     for row in export_all(shop, argv[1]).collect():   # eleven log lines

@@ -11,13 +11,14 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every report relies on: UTC so that TIMESTAMP_NTZ month keys do not
-# shift, AQE for runtime join choice, partition coalescing and skew splitting.
-REQUIRED_CONF = {
+# Settings of the local sessions (Spark's defaults but for the last): AQE for runtime
+# join choice, partition coalescing and skew splitting; checkpoints go when unused.
+LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -41,7 +42,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in {**REQUIRED_CONF, **extra}.items():
+    for k, v in {**LOCAL_CONF, **extra}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -59,18 +60,21 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession, scratch_if_unset: bool = False) -> str | None:
     """Make ``checkpoint()`` use the session's ``spark.checkpoint.dir``.
 
-    With ``scratch_if_unset`` (tests only) a fresh local folder is taken when
-    the session names none; a cluster always names a shared one.
+    With ``scratch_if_unset`` a fresh local folder is taken when a *local* session
+    names none; on a cluster, whose machines share no such folder, that is an error.
     """
     sc = spark.sparkContext
     current = checkpoint_dir(spark)
     if not current and scratch_if_unset:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tillroll-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if current and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
 
 
-def apply_required_conf(spark: SparkSession) -> None:
-    for k, v in REQUIRED_CONF.items():
-        spark.conf.set(k, v)
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Let the file system remove ``path`` when the application ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)

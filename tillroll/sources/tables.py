@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.dates import month_key
 from tillroll.functions.numeric import money, rate, round_div_decimal
 from tillroll.sources import schema as S
 
@@ -90,41 +91,7 @@ def _status(orderstatus, orderkey):
                    F.when((orderkey % 2).eqNullSafe(0), "cancelled").otherwise("pending"))))
 
 
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the session has task slots.
-
-    A file with one row group is read by one task, and everything up to the
-    first shuffle (casts, pre-aggregation) would run there too. Large inputs
-    have many splits and tiny ones (under ``SPREAD_MIN_BYTES``) are not worth
-    a shuffle; both are returned unchanged.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(slots) if size >= SPREAD_MIN_BYTES else df
-
-
-_STAR_CACHE: dict[tuple[str, str], Shop] = {}
-
-
 def star_tables(spark: SparkSession, sf_dir: str) -> Shop:
-    """The star schema under ``sf_dir`` mapped onto the shop tables (lazy).
-
-    The lazy DataFrames are kept per application and folder: building them
-    reads file footers and costs driver time, and they hold no data.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    shop = _STAR_CACHE.get(key)
-    if shop is None or shop.orders.sparkSession is not spark:
-        shop = _STAR_CACHE[key] = _star_tables(spark, sf_dir)
-    return shop
-
-
-def _star_tables(spark: SparkSession, sf_dir: str) -> Shop:
     """The star schema under ``sf_dir`` mapped onto the shop tables.
 
     customers  <- customer (+ nation, region; referral = type of the user's
@@ -135,7 +102,7 @@ def _star_tables(spark: SparkSession, sf_dir: str) -> Shop:
     products   <- part (category = p_type), spend <- events by month, type
     """
     def rd(t: str) -> DataFrame:
-        return spread_small_input(spark.read.parquet(f"{sf_dir}/{t}.parquet"))
+        return spark.read.parquet(f"{sf_dir}/{t}.parquet")
 
     nation = rd("nation").select("n_nationkey", "n_name", "n_regionkey")
     region = rd("region").select("r_regionkey", "r_name")
@@ -149,14 +116,14 @@ def _star_tables(spark: SparkSession, sf_dir: str) -> Shop:
     first_order = raw_orders.groupBy(F.col("o_custkey").alias("customer_id")).agg(
         F.min(F.to_date("o_orderdate")).alias("acquired_at"))
 
-    geo = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
-        F.col("n_nationkey"), F.col("n_name").alias("city"), F.col("r_name").alias("country"))
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").groupBy("n_nationkey").agg(
+        F.max("n_name").alias("city"), F.max("r_name").alias("country"))
 
     customers = (
         rd("customer")
         .select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("full_name"),
                 F.col("c_nationkey"), F.col("c_mktsegment").alias("segment"))
-        .join(F.broadcast(geo), F.col("c_nationkey") == geo.n_nationkey, "left")
+        .join(geo, F.col("c_nationkey") == geo.n_nationkey, "left")
         .join(first_event, "customer_id", "left")
         .join(first_order, "customer_id", "left")
         .select(
@@ -180,7 +147,7 @@ def _star_tables(spark: SparkSession, sf_dir: str) -> Shop:
     part_cost = part.groupBy(F.col("p_partkey").alias("product_id")).agg(
         F.max(money("p_retailprice")).alias("part_cost"))
     li = rd("lineitem")
-    qty = F.col("l_quantity").cast("int")
+    qty = F.round("l_quantity").cast("int")   # whole already; a fraction would round, not be cut
     revenue = money("l_extendedprice")
     lines = (
         li.select(
@@ -210,7 +177,7 @@ def _star_tables(spark: SparkSession, sf_dir: str) -> Shop:
         "category_id", F.col("p_type").alias("name"), F.lit(None).cast("bigint").alias("parent_id"))
 
     spend = (
-        events.groupBy(F.date_format("ts", "yyyy-MM").alias("month"),
+        events.groupBy(month_key(F.col("ts")).alias("month"),
                        F.col("event_type").alias("channel"))
         .agg(F.sum(money("value")).alias("spend_zar"))
         .select(F.xxhash64("month", "channel").alias("spend_id"), "month", "channel",
