@@ -5,7 +5,7 @@ scheme, query and fragment. The list holds canonical urls and rules; a rule is a
 with a path prefix and fits the host, its subdomains and every path that starts so. Each
 url yields a few keys (host suffixes times the path-prefix lengths that rules have,
 and its own canonical url). Keys pass the Bloom filter, which travels by broadcast and is bounded
-by ``MAX_BLOCKS`` whatever the list holds; only its possible hits are shuffled to the exact join,
+by ``bloom.MAX_BLOCKS`` whatever the list holds; only its possible hits are shuffled to the exact join,
 which removes false positives. All of it is DataFrame functions.
 """
 
@@ -14,11 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.bloom import bloom, blocks_for, possible
 from tillroll.llm.common import Scratch
 
-LANES = 4                 # longs of a block: 256 bits, two bits set in each long by a key
-KEYS_PER_BLOCK = 12       # about 21 bits a key
-MAX_BLOCKS = 1 << 16      # 2 MB of bits, under 8 MB as broadcast rows; fuller blocks only pass more to the exact join
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 Rule = tuple[str, str, str]   # host, path prefix, verdict
@@ -38,42 +36,6 @@ def canonical_key(host: Column, path: Column) -> Column:
     return F.concat(F.lit("url "), host, F.regexp_replace(path, "/+$", ""))
 
 
-def _bits(key: Column, blocks: int) -> tuple[Column, list[Column]]:
-    h = F.xxhash64(key, F.lit("bits"))
-    one = F.lit(1).cast("long")
-    lane = []
-    for i in range(LANES):
-        a = F.shiftrightunsigned(h, 12 * i).bitwiseAND(F.lit(63)).cast("int")
-        b = F.shiftrightunsigned(h, 12 * i + 6).bitwiseAND(F.lit(63)).cast("int")
-        lane.append(F.call_function("shiftleft", one, a).bitwiseOR(F.call_function("shiftleft", one, b)))
-    return F.pmod(F.xxhash64(key, F.lit("block")), F.lit(blocks)).cast("int"), lane
-
-
-def bloom(listed: DataFrame, blocks: int) -> DataFrame:
-    """One row for each block that has a key: block and its longs b0, b1, ..."""
-    block, lanes = _bits(F.col("key"), blocks)
-    return (listed.select(block.alias("block"), *[m.alias(f"b{i}") for i, m in enumerate(lanes)])
-            .groupBy("block").agg(*[F.bit_or(f"b{i}").alias(f"b{i}") for i in range(LANES)]))
-
-
-def possible(keyed: DataFrame, filter_: DataFrame, blocks: int) -> DataFrame:
-    """The rows of ``keyed`` (column ``key``) that the filter lets through."""
-    names = keyed.columns
-    block, lanes = _bits(F.col("key"), blocks)
-    probe = keyed.select("*", block.alias("block"), *[m.alias(f"m{i}") for i, m in enumerate(lanes)])
-    hit = probe.join(F.broadcast(filter_), "block")   # at most MAX_BLOCKS rows
-    for i in range(LANES):
-        hit = hit.where(F.col(f"b{i}").bitwiseAND(F.col(f"m{i}")) == F.col(f"m{i}"))
-    return hit.select(*names)
-
-
-def blocks_for(n: int) -> int:
-    blocks = 1
-    while blocks * KEYS_PER_BLOCK < n and blocks < MAX_BLOCKS:
-        blocks *= 2
-    return blocks
-
-
 def judge(pages: DataFrame, rules: list[Rule], urls: DataFrame | None = None,
           key: str = "page_id", url: str = "url") -> DataFrame:
     """Per row: key, host, path, rule (host and prefix of the longest fitting rule, else null) and verdict.
