@@ -37,7 +37,7 @@ from __future__ import annotations
 import math
 import warnings
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Observation, Window
@@ -166,6 +166,7 @@ class _Plan:
     sum_off: str | None = None
     n: int = 0
     grand_total: object = None
+    starts: list = field(default_factory=list)   # (bucket, rows before it, its rows), in order
 
 
 def _plan(base: DataFrame, specs: list[OrderSpec], tiebreak: str | None, buckets: int,
@@ -300,6 +301,7 @@ def _plan(base: DataFrame, specs: list[OrderSpec], tiebreak: str | None, buckets
         acc_rows, acc_sum = 0, None
         for bk, cnt, sm in rows:
             keys.append(bk)
+            p.starts.append((bk, acc_rows, cnt))
             row_off.append(acc_rows)
             rank_off.append(before_value[bk // p.width])
             sum_off.append(acc_sum)
@@ -402,17 +404,69 @@ def global_ntiles(df: DataFrame, specs: list[tuple[str, bool, str]], tiles: int,
                   materialize: bool = True) -> DataFrame:
     """Several ``NTILE(tiles) OVER (ORDER BY key [DESC], tiebreak)`` at once.
 
-    ``specs``: (key, descending, output column). Shares the planning jobs and
-    chains one window per ordering (no joins).
+    ``specs``: (key, descending, output column); ``tiebreak`` is unique. A tile ends at a
+    known row number, which the bucket counts place in one bucket: the (key,
+    tiebreak) there is read off the few buckets that hold a tile's end, and every
+    row's tile is then a CASE over those at most ``tiles - 1`` pairs. No row outside these
+    buckets is shuffled.
     """
     order_specs = [OrderSpec(k, d, prefix=f"_nt{i}_") for i, (k, d, _) in enumerate(specs)]
-    ranked = global_orders(df, order_specs, tiebreak=tiebreak, buckets=buckets,
-                           materialize=materialize, tag="nt")
-    drop = []
-    for (_, _, out), s in zip(specs, order_specs):
-        ranked = ranked.withColumn(out, ntile_of(F.col(f"{s.prefix}row_number"), F.col(f"{s.prefix}n"), tiles))
-        drop += [f"{s.prefix}row_number", f"{s.prefix}rank", f"{s.prefix}n"]
-    return ranked.drop(*drop)
+    work, plans = _plan(df, order_specs, tiebreak, buckets or default_buckets(df), "nt", materialize)
+    ends = [tile_ends(p.n, tiles) for p in plans]
+    cuts = _rows_at(work, plans, ends, tiebreak)
+    out = work
+    for i, (p, (_, _, name)) in enumerate(zip(plans, specs)):
+        tile = F.lit(tiles)
+        for t in reversed(range(1, tiles)):
+            key_and_tie = cuts.get((i, ends[i][t - 1]))
+            if key_and_tie is not None:
+                tile = F.when(_not_after(p, key_and_tie, tiebreak, work.schema), t).otherwise(tile)
+        out = out.withColumn(name, tile.cast("long"))
+    return out.drop(*[p.sort_col for p in plans])
+
+
+def tile_ends(n: int, tiles: int) -> list[int]:
+    """Number of the last row of each tile but the last; the first ``n mod tiles`` tiles hold one row more."""
+    q, r = divmod(n, tiles)
+    return [t * q + min(t, r) for t in range(1, tiles)]
+
+
+def _rows_at(work: DataFrame, plans: list[_Plan], ends: list[list[int]], tiebreak: str) -> dict:
+    """{(plan, row number): (key, tiebreak)} of the wanted rows, from the buckets that hold them."""
+    parts = []
+    for i, p in enumerate(plans):
+        wanted = {}   # bucket -> row numbers inside it
+        for end in {e for e in ends[i] if e > 0}:
+            bucket, before, _ = next(x for x in p.starts if x[1] < end <= x[1] + x[2])
+            wanted.setdefault(bucket, {})[end - before] = end
+        if not wanted:
+            continue
+        order = F.col("key").asc_nulls_first() if p.spec.nulls_go_first else F.col("key").asc_nulls_last()
+        inside = (work.select(p.bucket.alias("b"), F.col(p.sort_col).alias("key"), F.col(tiebreak).alias("tie"))
+                  .where(F.col("b").isin(list(wanted)))
+                  .withColumn("row", F.row_number().over(Window.partitionBy("b").orderBy(order, "tie"))))
+        pick = F.lit(None).cast("long")
+        for bucket, rows in wanted.items():
+            for row, end in rows.items():
+                pick = F.when((F.col("b") == bucket) & (F.col("row") == row), F.lit(end).cast("long")).otherwise(pick)
+        parts.append(inside.withColumn("end", pick).where("end IS NOT NULL")
+                     .select(F.lit(i).alias("i"), "end", F.col("key").cast("string").alias("key"), "tie"))
+    found = {}
+    for part in parts:   # at most tiles - 1 rows each
+        found.update({(r["i"], r["end"]): (r["key"], r["tie"]) for r in part.collect()})
+    return found
+
+
+def _not_after(p: _Plan, cut: tuple, tiebreak: str, schema: T.StructType) -> Column:
+    """Whether a row's (key, tiebreak) is at or before ``cut`` in the plan's order."""
+    key, tie = cut
+    k = F.col(p.sort_col)
+    same_tie = F.col(tiebreak) <= F.expr(_lit(tie, schema[tiebreak].dataType))
+    if key is None:
+        return k.isNull() & same_tie if p.spec.nulls_go_first else k.isNotNull() | same_tie
+    c = F.lit(key).cast(schema[p.sort_col].dataType)
+    before = F.coalesce((k < c) | ((k == c) & same_tie), F.lit(False))
+    return k.isNull() | before if p.spec.nulls_go_first else before
 
 
 def global_ntile(df: DataFrame, key: str, tiles: int, out: str, *, descending: bool = False,

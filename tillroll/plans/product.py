@@ -27,7 +27,8 @@ def _named_products(shop: Shop) -> DataFrame:
             .join(cat, "category_id").drop("category_id"))
 
 
-def product_revenue_exact(shop: Shop) -> DataFrame:
+def product_numbers(shop: Shop) -> DataFrame:
+    """Per product with a name and category: its counts and sums, without them."""
     pairs = order_product_totals(shop, COMPLETED)
     per_product = pairs.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("orders_count"),
@@ -37,8 +38,8 @@ def product_revenue_exact(shop: Shop) -> DataFrame:
         F.sum("price_sum").alias("_price_sum"),
         F.sum("price_n").alias("_price_n"),
     )
-    return per_product.join(_named_products(shop), "product_id").select(
-        "product_id", "product_name", "category", "orders_count", "units_sold",
+    return per_product.join(_named_products(shop), "product_id", "left_semi").select(
+        "product_id", "orders_count", "units_sold",
         F.round(F.col("_rev"), 2).alias("total_revenue"),
         F.round(F.col("_profit"), 2).alias("total_profit"),
         round_div(F.col("_price_sum"), F.col("_price_n"), 2, num_scale=2).alias("avg_selling_price"),
@@ -47,6 +48,10 @@ def product_revenue_exact(shop: Shop) -> DataFrame:
     )
 
 
+def product_revenue_exact(shop: Shop) -> DataFrame:
+    return product_numbers(shop).join(_named_products(shop), "product_id")
+
+
 def product_revenue(shop: Shop) -> DataFrame:
     p = product_revenue_exact(shop)
     return p.select(
@@ -58,10 +63,9 @@ def product_revenue(shop: Shop) -> DataFrame:
 
 
 def product_pareto(shop: Shop, buckets: int | None = None) -> DataFrame:
-    p = product_revenue_exact(shop)
-    ranked = global_order(p, "total_revenue", descending=True, tiebreak="product_id",
+    ranked = global_order(product_numbers(shop), "total_revenue", descending=True, tiebreak="product_id",
                           sum_col="total_revenue", buckets=buckets)
-    return ranked.select(
+    return ranked.join(_named_products(shop), "product_id").select(
         F.col("rank").cast("bigint").alias("revenue_rank"),
         "product_name", "category", "orders_count", "units_sold",
         to_double(F.col("total_revenue")).alias("total_revenue"),

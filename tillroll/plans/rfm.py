@@ -31,18 +31,25 @@ def snapshot_date(shop: Shop) -> DataFrame:
     return snapshot(shop).select(iso_date(F.col("snapshot_date")).alias("snapshot_date"))
 
 
-def customer_rfm_metrics_exact(shop: Shop) -> DataFrame:
-    per_customer = with_attributes(customer_orders(shop), shop,
-                                   "full_name", "city", "segment", "referral_src")
+ATTRIBUTES = ("full_name", "city", "segment", "referral_src")
+
+
+def rfm_numbers(shop: Shop) -> DataFrame:
+    """customer_id, recency_days, frequency, monetary of the known customers."""
+    known = customer_orders(shop).join(shop.customers.select("customer_id"), "customer_id", "left_semi")
     snap = snapshot(shop)  # a global aggregate: exactly one row, so the cross join is N x 1
-    return per_customer.crossJoin(F.broadcast(snap)).select(
-        "customer_id", "full_name", "city", "segment", "referral_src",
+    return known.crossJoin(F.broadcast(snap)).select(
+        "customer_id",
         F.datediff(F.col("snapshot_date"), F.col("last_order")).cast("bigint").alias("recency_days"),
         F.col("order_count").alias("frequency"),
         F.col("total_spend").alias("monetary"),
     )
 
 
+def customer_rfm_metrics_exact(shop: Shop) -> DataFrame:
+    return with_attributes(rfm_numbers(shop), shop, *ATTRIBUTES)
+
+
 def _metric_cols():
     return ["customer_id", "full_name", "city", "segment", "referral_src", "recency_days",
             "frequency", to_double(F.col("monetary")).alias("monetary")]
@@ -54,14 +61,15 @@ def customer_rfm_metrics(shop: Shop) -> DataFrame:
 
 def customer_rfm_scores_exact(shop: Shop, scores: str = AS_WRITTEN,
                               buckets: int | None = None) -> DataFrame:
-    """Metrics plus the three tiles.
+    """customer_id, the three numbers and the three tiles.
 
-    The customer metrics are materialised once (checkpoint to the shared
-    folder, quantiles observed on the way); the three orderings share their
-    planning jobs and add one shuffle and window each.
+    The numbers are materialised once (checkpoint to the shared folder, quantiles
+    observed on the way); the three orderings share their planning jobs, and
+    tiles follow from their cut points without a shuffle. Attributes are joined by
+    the reports that show them.
     """
     flip = scores == FIVE_IS_BEST
-    return global_ntiles(customer_rfm_metrics_exact(shop),
+    return global_ntiles(rfm_numbers(shop),
                          [("recency_days", flip, "r_score"),
                           ("frequency", not flip, "f_score"),
                           ("monetary", not flip, "m_score")],
@@ -69,7 +77,8 @@ def customer_rfm_scores_exact(shop: Shop, scores: str = AS_WRITTEN,
 
 
 def customer_rfm_scores(shop: Shop, scores: str = AS_WRITTEN) -> DataFrame:
-    return customer_rfm_scores_exact(shop, scores).select(*_metric_cols(), "r_score", "f_score", "m_score")
+    s = with_attributes(customer_rfm_scores_exact(shop, scores), shop, *ATTRIBUTES)
+    return s.select(*_metric_cols(), "r_score", "f_score", "m_score")
 
 
 def rfm_label(r: Column, f: Column, m: Column, labels=RFM_LABELS_DETAIL,
@@ -99,7 +108,7 @@ def customer_rfm_labels_exact(shop: Shop, scores: str = AS_WRITTEN, export: bool
 
 
 def customer_rfm_labels(shop: Shop, scores: str = AS_WRITTEN) -> DataFrame:
-    return customer_rfm_labels_exact(shop, scores).select(
+    return with_attributes(customer_rfm_labels_exact(shop, scores), shop, *ATTRIBUTES).select(
         *_metric_cols(), "r_score", "f_score", "m_score", "rfm_total", "rfm_label")
 
 
