@@ -83,6 +83,7 @@ def judge(pages: DataFrame, rules: list[Rule], urls: DataFrame | None = None,
     best = scratch.save(hits.groupBy("host", "path").agg(F.max(F.struct(
         "size", "host_size", "key", "verdict")).alias("best")).select("host", "path", "best.*"))
     rule = F.when(F.col("size") > 0, F.col("key"))
-    return rows.join(best, ["host", "path"], "left").select(
+    # compressed files look smaller than their rows are: never broadcast what grows with the input
+    return rows.join(best.hint("merge"), ["host", "path"], "left").select(
         F.col("key_").alias(key), "host", "path", rule.alias("rule"),
         F.coalesce("verdict", F.lit("allow")).alias("verdict"))
