@@ -100,3 +100,23 @@ def test_nulls_first_on_descending(spark):
     exp = {r["id"]: r["rn"] for r in df.withColumn("rn", F.row_number().over(w)).collect()}
     got = global_order(df, "v", descending=True, nulls_first=True, tiebreak="id", buckets=8)
     assert {r["id"]: r["row_number"] for r in got.collect()} == exp
+
+
+def test_hot_decimal_of_many_digits_is_split(spark):
+    hot = "12345678901234567.89"
+    df = spark.range(40_000).select(
+        "id", F.when(F.col("id") % 2 == 0, F.lit(hot)).otherwise(F.col("id").cast("string")).cast("decimal(20,2)").alias("v"))
+    _, plans = _plan(df, [OrderSpec("v")], "id", 16, "t")
+    assert max(rows for _, _, rows in plans[0].starts) < 6000
+    out = global_order(df, "v", tiebreak="id", buckets=16)
+    assert out.where(F.col("v") == F.lit(hot).cast("decimal(20,2)")).agg(F.min("rank"), F.max("rank"), F.max("row_number")).collect()[0] == (20001, 20001, 40000)
+
+
+def test_tiles_from_cut_points_match_the_window(spark):
+    for n in (0, 1, 3, 5, 7, 23, 400):
+        df = spark.range(n).select("id", F.when(F.col("id") % 7 == 3, None).otherwise(F.col("id") % 4).alias("v"))
+        for desc in (False, True):
+            order = F.col("v").desc() if desc else F.col("v").asc()
+            want = {r.id: r.t for r in df.withColumn("t", F.ntile(5).over(Window.orderBy(order, "id"))).collect()}
+            got = {r.id: r.t for r in global_ntiles(df, [("v", desc, "t")], 5, tiebreak="id", buckets=8).collect()}
+            assert got == want, (n, desc)

@@ -199,7 +199,7 @@ def _plan(base: DataFrame, specs: list[OrderSpec], tiebreak: str | None, buckets
     # Thin the boundaries when the input is small: about one bucket per
     # ROWS_PER_BUCKET rows, never fewer than 16, never more than planned.
     wanted_b = min(b, max(16, -(-n // ROWS_PER_BUCKET)))
-    quantiles = [row[f"q{i}"] or [] for i in range(len(specs))]
+    quantiles = [_exact_heavy(work, c, t, row[f"q{i}"] or []) for i, (c, t) in enumerate(zip(cols, types))]
     if wanted_b < b:
         pick = [round(j * b / wanted_b) - 1 for j in range(1, wanted_b)]
         quantiles = [[q[k] for k in pick if k < len(q)] for q in quantiles]
@@ -317,6 +317,26 @@ def _plan(base: DataFrame, specs: list[OrderSpec], tiebreak: str | None, buckets
     return work, plans
 
 
+def _exact_heavy(work: DataFrame, key: str, dtype: T.DataType, quantiles: list) -> list:
+    """Quantiles with the heavy values among them made exact.
+
+    ``percentile_approx`` computes in DOUBLE, so a decimal of more than 15 digits
+    comes back a little off and would not be recognised as the hot value it stands for. The most frequent value
+    within the rounding error takes its place (one small aggregate, only where that can happen).
+    """
+    near = [v for v, c in Counter(quantiles).items()
+            if isinstance(dtype, T.DecimalType) and c >= 2 and len(v.as_tuple().digits) > 15]
+    exact = {}
+    for v in near:
+        slack = abs(v) / 2**51
+        lo, hi = (F.lit(str(x)).cast("decimal(38,10)") for x in (v - slack, v + slack))
+        top = (work.where(F.col(key).between(lo, hi)).groupBy(key).count()
+               .orderBy(F.col("count").desc(), key).limit(1).collect())
+        if top:
+            exact[v] = top[0][0]
+    return [exact.get(v, v) for v in quantiles]
+
+
 def _match(heavy: dict, text: str, dtype: T.DataType):
     for k in heavy:
         if str(k) == text:
