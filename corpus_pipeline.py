@@ -47,7 +47,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    return bpe.decode(bpe.encode(docs, path), path).select(
+    return bpe.encode(docs, path, decoded=True).select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

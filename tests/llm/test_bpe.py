@@ -27,6 +27,8 @@ def compare(df, rows, library):
     want = sorted(((k, tuple(library.encode(t or "", add_special_tokens=False).ids)) for k, t in rows), key=str)
     assert sorted(((r.doc_id, tuple(r.ids)) for r in out), key=str) == want
     assert all(library.decode(list(r.ids), skip_special_tokens=False) == r.decoded for r in out)
+    both = bpe.encode(df, PATH, decoded=True).collect()
+    assert sorted((str(r.doc_id), r.decoded) for r in both) == sorted((str(r.doc_id), r.decoded) for r in out)
 
 
 def test_shared_chunks_and_cuts_inside_words(docs_of, library):

@@ -16,14 +16,16 @@ white space, agree exactly with the chunks' encoding.
 from __future__ import annotations
 
 import os
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.bloom import bloom, blocks_for, split
 from tillroll.llm.common import Scratch, WindowHash, map_arrow, mix64, row_key, text_bytes
 
 ROLL = 16             # bytes the rolling hash sees
@@ -75,6 +77,7 @@ class Encoder:
 
     CACHE = 300_000
     CACHED_LENGTH = 64
+    JOINED = 256          # new words the library gets as one text, a special token between them
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -86,21 +89,49 @@ class Encoder:
         self.kind = np.dtype("<u2" if self.tok.get_vocab_size(with_added_tokens=True) <= 65536 else "<u4")
         self.cache: dict[bytes, bytes] = {}
         self.vocabulary = None
+        plain = [(i, t.content) for i, t in self.tok.get_added_tokens_decoder().items()
+                 if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        self.between = (plain[-1][0], plain[-1][1].encode()) if plain else None
 
     def direct(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as packed numbers, straight from the library."""
         got = self.tok.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in got]
 
-    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word. The library splits at special tokens before all else, so words may share a text."""
+        if self.between is None:
+            return self.direct(words)
+        number, sign = self.between
+        alone = [i for i, w in enumerate(words) if b"<" in w or len(w) > self.CACHED_LENGTH or sign[:1] in w]
+        single = dict(zip(alone, self.direct([words[i] for i in alone])))
+        rest = [w for i, w in enumerate(words) if i not in single] if single else words
+        texts = [sign.join(rest[i:i + self.JOINED]) for i in range(0, len(rest), self.JOINED)]
+        got: list[bytes] = []
+        for e in self.tok.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False):
+            ids = np.array(e.ids, self.kind)
+            ends = np.flatnonzero(ids == number) * self.kind.itemsize
+            packed, begin = ids.tobytes(), 0
+            for end in [*ends.tolist(), len(packed)]:
+                got.append(packed[begin:end])
+                begin = end + self.kind.itemsize
+        if not single:
+            return got
+        rest_ids = iter(got)
+        return [single[i] if i in single else next(rest_ids) for i in range(len(words))]
+
+    def learn(self, words: set[bytes]) -> "dict[bytes, bytes] | _Both":
         """A mapping that holds the ids of all ``words``."""
-        if len(self.cache) + len(words) > self.CACHE:
-            self.cache = {}
-        new = [w for w in words if w not in self.cache]
-        own = dict(zip(new, self.direct(new)))
-        long = {w: i for w, i in own.items() if len(w) > self.CACHED_LENGTH}
-        self.cache.update((w, i) for w, i in own.items() if len(w) <= self.CACHED_LENGTH)
-        return _Both(long, self.cache) if long else self.cache
+        if len(self.cache) > self.CACHE:   # the words seen first are the frequent ones: they stay
+            self.cache = dict(islice(self.cache.items(), self.CACHE // 2))
+        new = list(words - self.cache.keys())
+        own = dict(zip(new, self.words(new)))
+        if len(self.cache) + len(own) <= self.CACHE + self.CACHE // 4 and max(map(len, own), default=0) <= self.CACHED_LENGTH:
+            self.cache.update(own)
+            return self.cache
+        short = {w: i for w, i in own.items() if len(w) <= self.CACHED_LENGTH}
+        self.cache.update(islice(short.items(), max(0, self.CACHE + 1 - len(self.cache))))
+        return _Both(own, self.cache)
 
     def assemble(self, bodies: list[bytes], known: list[dict[int, bytes]]) -> list[bytes]:
         """Ids of whole texts; ``known``: for each text, ids of chunks encoded elsewhere, by chunk number."""
@@ -247,9 +278,26 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _split(rows: DataFrame, keys: DataFrame, row) -> tuple[DataFrame, DataFrame]:
+    blocks = blocks_for(keys.count())
+    return split(rows, bloom(keys, blocks), blocks, row)
+
+
+def _packed(src: DataFrame) -> DataFrame:
+    """key, k, th and the text as a zstd frame, which halves what a join moves."""
+    def run(batch: pa.RecordBatch) -> dict:
+        z = zstandard.ZstdCompressor(level=3)
+        return {"key": batch.column(0), "k": batch.column(1), "th": batch.column(2),
+                "body": [z.compress(b) for b in batch.column(3).to_pylist()]}
+    return map_arrow(src.select("key", "k", "th", "body"),
+                     f"key {src.schema['key'].dataType.simpleString()}, k string, th int, body binary", run)
+
+
+def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
     """Per row: key and ``ids``, the ids of the whole text as the library gives them without added special tokens.
 
+    With ``decoded`` also the text that :func:`decode` makes of the ids, by the same worker.
+
     ``tokenizer`` is the path of a tokenizers .json file on every machine whose pre-tokens do
     not cross white space. A null text is an empty one and has no ids. Rows with equal
     key and text are encoded alike; null keys are a key like any other.
@@ -279,16 +327,21 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
     uses = scratch.save(chunks.join(shared.select("h1", "h2"), ["h1", "h2"]).dropDuplicates(["k", "th", "pos"]))
     scratch.drop(chunks)
 
-    # both joins below hash the documents by (k, th); Spark does that exchange once
+    # A document's text is shuffled only if it shares a chunk, and once more if it owns one: Bloom
+    # filters of bounded size keep most others out, and whom they let through in vain the joins handle.
+    row = F.concat_ws("|", "k", "th")
     body = src.select("key", "k", "th", "body")
+    shares, alone = _split(body, uses.select(row.alias("key")).distinct(), row)
+    owning, _ = _split(body, shared.select(F.concat_ws("|", "one.k", "one.th").alias("key")).distinct(), row)
     owned = (shared.select("one.k", "one.th", F.struct("one.pos", "h1", "h2").alias("x"))
              .groupBy("k", "th").agg(F.collect_list("x").alias("own")))
-    owners = body.join(owned, ["k", "th"]).select("body", "own")
+    owners = _packed(owning).join(owned, ["k", "th"]).select("body", "own")
 
     def own_chunks(batch: pa.RecordBatch) -> dict:
-        e = encoder(tokenizer)
+        e, z = encoder(tokenizer), zstandard.ZstdDecompressor()
         texts, h1, h2 = [], [], []
         for body, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            body = z.decompress(body)
             bounds = [0, *cuts(body), len(body)]
             for x in own:
                 texts.append(body[bounds[x["pos"]]:bounds[x["pos"] + 1]].split())
@@ -299,19 +352,30 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
     encoded = map_arrow(owners, "h1 bigint, h2 bigint, ids binary", own_chunks).dropDuplicates(["h1", "h2"])
     given = (uses.join(encoded, ["h1", "h2"]).groupBy("k", "th")
              .agg(F.collect_list(F.struct("pos", "ids")).alias("given")))
-    joined = body.join(given, ["k", "th"], "left").select("key", "body", "given")
+    joined = _packed(shares).join(given, ["k", "th"], "left").select("key", "body", "given")
     kind = src.schema["key"].dataType.simpleString()
 
     def whole(batch: pa.RecordBatch) -> dict:
-        e = encoder(tokenizer)
+        e, z = encoder(tokenizer), zstandard.ZstdDecompressor()
         known = [{x["pos"]: x["ids"] for x in g or []} for g in batch.column(2).to_pylist()]
-        packed = e.assemble(batch.column(1).to_pylist(), known)
+        return rows(batch, e, [z.decompress(b) for b in batch.column(1).to_pylist()], known)
+
+    def by_itself(batch: pa.RecordBatch) -> dict:
+        return rows(batch, encoder(tokenizer), batch.column(1).to_pylist(), [{}] * batch.num_rows)
+
+    def rows(batch: pa.RecordBatch, e: Encoder, bodies: list[bytes], known: list[dict]) -> dict:
+        packed = e.assemble(bodies, known)
         size = np.array([len(p) // e.kind.itemsize for p in packed], np.int64)
         values = np.frombuffer(b"".join(packed), e.kind).astype(np.int32)
         offsets = np.r_[0, np.cumsum(size)].astype(np.int32)
-        return {"key": batch.column(0), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))}
+        out = {"key": batch.column(0), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))}
+        if decoded:
+            out["decoded"] = [e.decode(np.frombuffer(p, e.kind).tolist()) for p in packed]
+        return out
 
-    return map_arrow(joined, f"key {kind}, ids array<int>", whole).withColumnRenamed("key", key)
+    out = f"key {kind}, ids array<int>" + ", decoded string" * decoded
+    return map_arrow(joined, out, whole).unionByName(
+        map_arrow(alone.select("key", "body"), out, by_itself)).withColumnRenamed("key", key)
 
 
 def decode(rows: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

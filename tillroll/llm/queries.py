@@ -26,8 +26,7 @@ def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    ids = bpe.encode(read_table(spark, sf_dir, "documents"), path)
-    return bpe.decode(ids, path).select(
+    return bpe.encode(read_table(spark, sf_dir, "documents"), path, decoded=True).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
