@@ -349,7 +349,8 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
         ids = e.learn(set(chain.from_iterable(texts)))
         return {"h1": h1, "h2": h2, "ids": [b"".join([ids[w] for w in t]) for t in texts]}
 
-    encoded = map_arrow(owners, "h1 bigint, h2 bigint, ids binary", own_chunks).dropDuplicates(["h1", "h2"])
+    # written, so that the join below is between scans and AQE may split the partition of a hot chunk
+    encoded = scratch.save(map_arrow(owners, "h1 bigint, h2 bigint, ids binary", own_chunks).dropDuplicates(["h1", "h2"]))
     given = (uses.join(encoded, ["h1", "h2"]).groupBy("k", "th")
              .agg(F.collect_list(F.struct("pos", "ids")).alias("given")))
     joined = _packed(shares).join(given, ["k", "th"], "left").select("key", "body", "given")
