@@ -51,3 +51,27 @@ def test_adapter_completed_filter_reaches_parquet(spark):
     plan = _plan(spark, "revenue_trend")
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "orders.parquet" in line]
     assert any("EqualNullSafe(o_orderstatus,F)" in s for s in scans), scans
+
+
+def test_rfm_reads_no_attributes_and_shuffles_no_customer_for_its_tiles(spark):
+    from tillroll.plans import rfm
+    from tillroll.sources.tables import star_tables
+    shop = star_tables(spark, SF)
+    numbers = rfm.rfm_numbers(shop)._jdf.queryExecution().executedPlan().toString()
+    for table in ("nation", "region", "events"):
+        assert f"{table}.parquet" not in numbers, table
+    tiles = rfm.customer_rfm_labels_exact(shop)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in tiles and "Window" not in tiles
+
+
+def test_adapter_scans_are_not_dealt_out(spark):
+    for key in ("revenue_trend", "channel_quality", "segment_clv", "cohort_retention"):
+        assert "RoundRobinPartitioning" not in _plan(spark, key), key
+    for key in ("marketing_roi", "segment_clv"):
+        assert "nation.parquet" not in _plan(spark, key), key
+
+
+def test_row_rules_share_one_scan_of_a_table(spark):
+    plan = _plan(spark, "constraint_violations")
+    lines = [x for x in plan.splitlines() if "FileScan parquet" in x and "lineitem.parquet" in x]
+    assert len(lines) <= 4   # row rules, key, and one for each of two foreign keys

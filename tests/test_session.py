@@ -11,3 +11,17 @@ def test_existing_checkpoint_dir_is_kept(spark):
     assert ensure_checkpoint_dir(spark, scratch_if_unset=True) == before
     assert ensure_checkpoint_dir(spark) == before
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from tillroll import session
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn", getConf=lambda: {},
+                         setCheckpointDir=lambda d: pytest.fail("no folder may be made up on a cluster"))
+    cluster = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: None))
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(cluster, scratch_if_unset=True)
+    assert session.ensure_checkpoint_dir(cluster) is None

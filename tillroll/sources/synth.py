@@ -196,7 +196,10 @@ def synth_shop(spark: SparkSession, customer_ids: DataFrame | None = None,
 
 
 def synth_tables(shop: Shop) -> dict[str, DataFrame]:
-    return {n: shop.table(n) for n in S.TABLES}
+    """The six native tables of a generated shop, with exactly their declared columns and types."""
+    tables = {n: shop.table(n) for n in S.TABLES}
+    tables["order_items"] = tables["order_items"].withColumn("unit_cost", F.col("line_cost") / F.col("quantity"))
+    return {n: df.select(*[F.col(f.name).cast(f.dataType) for f in S.TABLES[n].fields]) for n, df in tables.items()}
 
 
 def _dec(x):
