@@ -111,12 +111,14 @@ def test_event_log_folds_in_order(spark):
         (1, 6, "regenerate", 1, "assistant", None), (1, 7, "delta", 1, "assistant", "good"), (1, 8, "delta", 1, "assistant", " day"),
         (2, 1, None, None, None, None), (None, 1, "message", 0, "user", "x"), (None, 2, "message", 1, "assistant", "y"),
         (3, 1, "message", 0, "user", "same"), (3, 1, "message", 0, "user", "same"), (4, 9, "delta", 0, "assistant", "d"),
-        (4, 9, "delta", 0, "assistant", "d")]
+        (4, 9, "delta", 0, "assistant", "d"), (5, 2, "append", 1, "user", "z"), (5, 1, "append", 0, "user", "y"),
+        (5, 2, "append", 1, "assistant", "z"), (5, 2, "append", 1, "assistant", "z")]
     log = spark.createDataFrame(rows, "conv_id bigint, seq int, event string, turn int, role string, text string").withColumn("formatted", F.lit(1))
     out = {r.conv_id: r for r in chat.read_back(chat.format_log(log.repartition(5))).collect()}
     said = {k: [(t.role, t.text) for t in r.turns] for k, r in out.items()}
     assert said == {1: [("user", "hi there"), ("assistant", "good day")], 2: [("", "")], None: [("user", "x"), ("assistant", "y")],
-                    3: [("user", "same")], 4: [("assistant", "dd")]}
+                    3: [("user", "same")], 4: [("assistant", "dd")],
+                    5: [("user", "y"), ("assistant", "z"), ("assistant", "z"), ("user", "z")]}
     assert out[1].loss == ["good day"] and out[3].loss == []
     assert chat.format_log(log.limit(0)).count() == 0
 

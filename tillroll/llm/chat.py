@@ -4,6 +4,7 @@ A conversation log is a table of events. Logs are partitioned by conversation,
 sorted by sequence and folded as a stream into final messages, which are rendered with
 a template whose control strings cannot occur in an escaped text:
 
+``append``      a whole message at a turn, behind any that stand there already
 ``message``     a whole message at a turn (a later one replaces it and its deltas)
 ``delta``       more text for a turn's message, appended in order
 ``edit``        the turn's text is replaced
@@ -70,15 +71,23 @@ class Fold:
     """The messages of one conversation while its events come in order."""
 
     def __init__(self):
-        self.turns: dict[int, list] = {}       # turn: [role, [pieces of text]]
+        # (turn, number at that turn): [role, [pieces of text]]; the other events work on number 0
+        self.turns: dict[tuple[int, int], list] = {}
+        self.numbers: dict[int, int] = {}
 
     def add(self, kind: str, turn: int, role: str, text: str) -> None:
-        own = self.turns.get(turn)
+        if kind == "append":
+            number = self.numbers.get(turn, 0)
+            self.turns[turn, number] = [role, [text]]
+            self.numbers[turn] = number + 1
+            return
+        own = self.turns.get((turn, 0))
         if kind == "message" or own is None:
             if kind == "regenerate":
                 text = ""
                 self._drop_after(turn)
-            self.turns[turn] = [role, [text]]
+            self.turns[turn, 0] = [role, [text]]
+            self.numbers[turn] = max(1, self.numbers.get(turn, 0))
         elif kind == "delta":
             own[1].append(text)
         elif kind == "edit":
@@ -90,8 +99,9 @@ class Fold:
             raise ValueError(f"unknown event {kind!r}")
 
     def _drop_after(self, turn: int) -> None:
-        for t in [t for t in self.turns if t > turn]:
+        for t in [t for t in self.turns if t[0] > turn]:
             del self.turns[t]
+            self.numbers.pop(t[0], None)
 
     def messages(self) -> list[tuple[str, str]]:
         return [(role, "".join(text)) for _, (role, text) in sorted(self.turns.items())]

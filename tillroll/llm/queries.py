@@ -46,11 +46,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of ``conversations`` as message events, and conversation -7, whose texts hold control strings."""
+    """Rows of ``conversations``, each a message of its own in the order of turns, and conversation -7, whose texts hold control strings."""
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], rows.schema)
-    return rows.unionByName(more).select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("event"),
+    return rows.unionByName(more).select("conv_id", F.col("turn").alias("seq"), F.lit("append").alias("event"),
                                          "turn", "role", "text")
 
 

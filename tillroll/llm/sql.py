@@ -45,9 +45,9 @@ WITH rows AS (
 marked AS (SELECT *, length(role) + length(text) + length('[ROLE][TEXT][/TEXT]')
     + length(regexp_replace(role || text, '[^~<\[]', '', 'g')) AS chars FROM rows)
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        (sum(chars) + length('<s></s>'))::BIGINT AS formatted_chars
 FROM marked GROUP BY conv_id
 """
