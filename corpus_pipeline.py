@@ -17,10 +17,11 @@ LEAST_SCORE = 0.3   # short texts of few letters score low with every language a
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; those without a letter, or with no language above LEAST_SCORE, go."""
-    rows = docs.select("doc_id", "text", "lang", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    out = langid.identify(rows, keep=["doc_id", "row"])
+    rest = [c for c in docs.columns if c != "text"]
+    rows = docs.select("doc_id", "text", "lang", F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
+    out = langid.identify(rows, keep=["doc_id", "text", "row"])
     good = out.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return good.select(*[F.col(f"row.`{c}`") for c in docs.columns])
+    return good.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

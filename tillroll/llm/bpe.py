@@ -75,7 +75,7 @@ def pieces(data: bytes, at: list[int]) -> tuple[np.ndarray, np.ndarray]:
 class Encoder:
     """One for each Python worker and tokenizer file; words' ids are kept in a bounded cache."""
 
-    CACHE = 300_000
+    CACHE = 150_000
     CACHED_LENGTH = 64
     JOINED = 256          # new words the library gets as one text, a special token between them
 

@@ -67,7 +67,7 @@ class Scratch:
             fs.delete(path, True)
 
 
-ROWS = 512   # of an Arrow batch, as many as are worked on and sent back at once
+ROWS = 256   # of an Arrow batch, as many as are worked on and sent back at once
 
 
 def map_arrow(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict]) -> DataFrame:
@@ -80,6 +80,8 @@ def map_arrow(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict])
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
+                if at:
+                    pa.default_memory_pool().release_unused()
                 cols = fn(batch.slice(at, ROWS))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[f.name], type=f.type, from_pandas=False)

@@ -59,13 +59,16 @@ def apply_net(docs: DataFrame, net: ByteConvNet, finish, schema: str, size: int,
 
     The network's few tables (well under 1 MB, whatever the data) travel with the tasks.
     """
-    body, = fresh(docs, "body")
-    src = docs.select(*[F.col(f"`{c}`") for c in keep], text_bytes(F.col(f"`{text}`")).alias(body))
+    # a kept text is not sent a second time
+    body = text if text in keep else fresh(docs, "body")[0]
+    src = docs.select(*[F.col(f"`{c}`") for c in keep],
+                      *([] if body == text else [text_bytes(F.col(f"`{text}`")).alias(body)]))
+    at = src.columns.index(body)
     kinds = "".join(f"`{c}` {src.schema[c].dataType.simpleString()}, " for c in keep)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batch: pa.RecordBatch) -> dict:
-        raw = batch.column(len(keep)).to_pylist()
+        raw = [b or b"" for b in batch.column(at).cast(pa.binary()).to_pylist()]
         z = shared.value.mean_logits([b.lower() for b in raw] if lower else raw, size, step)
         return {c: batch.column(i) for i, c in enumerate(keep)} | finish(raw, z)
 
