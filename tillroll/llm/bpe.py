@@ -290,7 +290,7 @@ def _packed(src: DataFrame) -> DataFrame:
         return {"key": batch.column(0), "k": batch.column(1), "th": batch.column(2),
                 "body": [z.compress(b) for b in batch.column(3).to_pylist()]}
     return map_arrow(src.select("key", "k", "th", "body"),
-                     f"key {src.schema['key'].dataType.simpleString()}, k string, th int, body binary", run)
+                     f"key {src.schema['key'].dataType.simpleString()}, k string, th binary, body binary", run)
 
 
 def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
@@ -319,7 +319,7 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
         return {"h1": h[:, 0].copy(), "h2": h[:, 1].copy(), "k": batch.column(0).take(row),
                 "th": batch.column(1).take(row), "pos": pa.array(pos, pa.int32())}
 
-    chunks = scratch.save(map_arrow(src.select("k", "th", "body"), "h1 bigint, h2 bigint, k string, th int, pos int", chunk))
+    chunks = scratch.save(map_arrow(src.select("k", "th", "body"), "h1 bigint, h2 bigint, k string, th binary, pos int", chunk))
     shared = scratch.save(
         chunks.groupBy("h1", "h2").agg(F.count("*").alias("c"), F.min(F.struct("k", "th", "pos")).alias("one"))
         .where("c > 1").select("h1", "h2", "one"))
@@ -329,10 +329,10 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
 
     # A document's text is shuffled only if it shares a chunk, and once more if it owns one: Bloom
     # filters of bounded size keep most others out, and whom they let through in vain the joins handle.
-    row = F.concat_ws("|", "k", "th")
+    row = F.concat_ws("|", "k", F.hex("th"))
     body = src.select("key", "k", "th", "body")
     shares, alone = _split(body, uses.select(row.alias("key")).distinct(), row)
-    owning, _ = _split(body, shared.select(F.concat_ws("|", "one.k", "one.th").alias("key")).distinct(), row)
+    owning, _ = _split(body, shared.select(F.concat_ws("|", "one.k", F.hex("one.th")).alias("key")).distinct(), row)
     owned = (shared.select("one.k", "one.th", F.struct("one.pos", "h1", "h2").alias("x"))
              .groupBy("k", "th").agg(F.collect_list("x").alias("own")))
     owners = _packed(owning).join(owned, ["k", "th"]).select("body", "own")

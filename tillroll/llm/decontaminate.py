@@ -128,7 +128,7 @@ def _passages(docs: DataFrame, lookup, n: int) -> DataFrame:
         return {"k": batch.column(0).take(of), "th": batch.column(1).take(of), "at": pa.array(at, pa.int32()),
                 "passage": pa.array(passage, pa.string()),
                 "seeds": pa.array([s.tolist() for s in seeds], pa.list_(pa.int64()))}
-    return map_arrow(docs.select("k", "th", "text"), "k string, th int, at int, passage string, seeds array<bigint>", run)
+    return map_arrow(docs.select("k", "th", "text"), "k string, th binary, at int, passage string, seeds array<bigint>", run)
 
 
 def _score(pairs: DataFrame) -> DataFrame:
@@ -140,7 +140,7 @@ def _score(pairs: DataFrame) -> DataFrame:
         return {c: batch.column(i) for i, c in enumerate(("k", "th", "item_id", "n_seeds"))} | {"score": score}
     kind = pairs.schema["item_id"].dataType.simpleString()
     return map_arrow(pairs.select("k", "th", "item_id", "n_seeds", "passage", "item"),
-                     f"k string, th int, item_id {kind}, n_seeds bigint, score double", run)
+                     f"k string, th binary, item_id {kind}, n_seeds bigint, score double", run)
 
 
 def copies(docs: DataFrame, items: DataFrame, gram: int = 3, min_seeds: int = 1, threshold: float = 0.5,

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import Scratch, WindowHash, map_arrow, mix64, text_bytes
+from tillroll.llm.common import Scratch, WindowHash, map_arrow, mix64, text_bytes, text_hash
 
 _HASH = WindowHash()
 
@@ -102,7 +102,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = 35, gram: in
                 "th": batch.column(1).take(i), "first": f.astype(np.int32), "n": n.astype(np.int32)}
 
     runs = scratch.save(map_arrow(docs.select("key", "th", "body"),
-                                  f"anchor bigint, run bigint, key {kind}, th int, first int, n int", seeds))
+                                  f"anchor bigint, run bigint, key {kind}, th binary, first int, n int", seeds))
     shared = scratch.save(
         runs.groupBy("anchor").agg(F.count("*").alias("c"), F.min("run").alias("r1"), F.max("run").alias("r2"))
         .where("c > 1").select("anchor", (F.col("r1") != F.col("r2")).alias("differ")))
@@ -137,7 +137,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = 35, gram: in
         return {"anchor": a, "w": w.view(np.int64), "c": c, "key": batch.column(0).take(i),
                 "th": batch.column(1).take(i), "first": s.astype(np.int32)}
 
-    windows = scratch.save(map_arrow(at, f"anchor bigint, w bigint, c bigint, key {kind}, th int, first int", extend)
+    windows = scratch.save(map_arrow(at, f"anchor bigint, w bigint, c bigint, key {kind}, th binary, first int", extend)
                            .dropDuplicates(["anchor", "w", "key", "th", "first"]))
     twice = scratch.save(windows.groupBy("anchor", "w").agg(F.sum("c").alias("sum")).where("sum > 1").select("anchor", "w"))
     single = windows.where("c = 1").join(twice, ["anchor", "w"])
@@ -163,14 +163,14 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8,
     ``n_words`` and ``n_removed`` are added (input columns of these names give way).
     Null and empty texts have no words and become empty. Repeated rows
     (equal key and text) are copies of each other, so their windows are repeats;
-    rows with one key and different texts are told apart by a hash
+    rows with one key and different texts are told apart by 128 bits
     of the text; null keys are a key like any other.
     """
     if not 0 < gram <= window:
         raise ValueError("gram must lie between 1 and window")
     scratch = Scratch(docs.sparkSession)
     rest = [c for c in docs.columns if c not in (key, text, "n_words", "n_removed")]
-    src = docs.select(F.col(f"`{key}`").alias("key"), F.hash(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("th"),
+    src = docs.select(F.col(f"`{key}`").alias("key"), text_hash(F.col(f"`{text}`")).alias("th"),
                       text_bytes(F.col(f"`{text}`")).alias("body"),
                       F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest") if rest else F.lit(None).cast("int").alias("rest"))
     spans = repeated_spans(src, scratch, window, gram)
