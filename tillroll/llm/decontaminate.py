@@ -7,13 +7,15 @@ documents hold (counted over the whole corpus), so any intact stretch of
 to the items by seed, and each (passage, item) pair with enough seeds is aligned by
 Smith-Waterman over words, which scores edited and paraphrased copies by what they keep.
 
-The test set goes against all documents in blocks of at most ``BLOCK`` n-grams, whose
-hashes (8 MB) are broadcast; a larger test set makes more blocks.
+The test set goes against all documents in blocks of at most ``BLOCK`` different n-grams, whose
+hashes (8 MB) are broadcast; a larger test set makes more blocks. Blocks are cut by the n-grams themselves,
+so neither a long item nor an ``item_id`` of many texts makes a block larger.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -79,20 +81,30 @@ def align(passage: list[str], item: list[str]) -> int:
 
 
 def _item_grams(items: DataFrame, n: int) -> DataFrame:
+    """(ik, pos, size, gram): each item's n-grams in order, and how many it has."""
     def run(batch: pa.RecordBatch) -> dict:
-        of, pos, gram = [], [], []
+        of, pos, size, gram = [], [], [], []
         for i, text in enumerate(batch.column(1).to_pylist()):
             g = gram_hashes(words_of(text), n)
             of.append(np.full(len(g), i)), pos.append(np.arange(len(g))), gram.append(g)
+            size.append(np.full(len(g), len(g)))
         of = pa.array(np.concatenate(of).astype(np.int64))
-        return {"item_id": batch.column(0).take(of), "pos": np.concatenate(pos).astype(np.int32),
-                "gram": np.concatenate(gram).view(np.int64)}
-    kind = items.schema["item_id"].dataType.simpleString()
-    return map_arrow(items.select("item_id", "text"), f"item_id {kind}, pos int, gram bigint", run)
+        return {"ik": batch.column(0).take(of), "pos": np.concatenate(pos).astype(np.int32),
+                "size": np.concatenate(size).astype(np.int32), "gram": np.concatenate(gram).view(np.int64)}
+    return map_arrow(items.select("ik", "text"), "ik binary, pos int, size int, gram bigint", run)
+
+
+def _blocks(grams: DataFrame) -> list[DataFrame]:
+    """Different n-grams (a written table) in blocks of at most ``BLOCK``, cut by their values; at least one block."""
+    n = max(1, -(-grams.count() // BLOCK))
+    block = lambda: F.pmod("gram", F.lit(n))
+    while n > 1 and grams.groupBy(block().alias("b")).count().agg(F.max("count")).first()[0] > BLOCK:
+        n += -(-n // 8)
+    return [grams.where(block() == b) for b in range(n)]
 
 
 def _lookup(spark, grams: DataFrame):
-    """Of one block's distinct grams; at most about BLOCK of them, 8 bytes each."""
+    """Of one block's n-grams; at most BLOCK of them, 8 bytes each."""
     values = np.array([r[0] for r in grams.collect()], np.int64).view(np.uint64)
     return spark.sparkContext.broadcast(Lookup(values))
 
@@ -109,26 +121,59 @@ def _document_counts(docs: DataFrame, lookup, n: int) -> DataFrame:
     return map_arrow(docs.select("text"), "gram bigint, df bigint", run).groupBy("gram").agg(F.sum("df").alias("df"))
 
 
-def _passages(docs: DataFrame, lookup, n: int) -> DataFrame:
-    """(k, th, at, passage, seeds): stretches of documents around seed hits, with the seeds they hold."""
-    def run(batch: pa.RecordBatch) -> dict:
-        of, at, passage, seeds = [], [], [], []
-        for i, text in enumerate(batch.column(2).to_pylist()):
-            words = words_of(text)
-            g = gram_hashes(words, n)
-            hit = lookup.value.find(g)
-            if not len(hit):
-                continue
-            for part in np.split(hit, np.flatnonzero(np.diff(hit) > MARGIN) + 1):
-                lo, hi = max(0, int(part[0]) - MARGIN), int(part[-1]) + n + MARGIN
-                of.append(i), at.append(int(part[0]))
-                passage.append(" ".join(words[lo:hi]))
-                seeds.append(np.unique(g[part]).view(np.int64))
-        of = pa.array(of, pa.int64())
-        return {"k": batch.column(0).take(of), "th": batch.column(1).take(of), "at": pa.array(at, pa.int32()),
-                "passage": pa.array(passage, pa.string()),
-                "seeds": pa.array([s.tolist() for s in seeds], pa.list_(pa.int64()))}
-    return map_arrow(docs.select("k", "th", "text"), "k string, th binary, at int, passage string, seeds array<bigint>", run)
+_PASSAGES = "k string, th binary, at int, passage string, seeds array<bigint>"
+
+
+def _cut_passages(batch: pa.RecordBatch, n: int, find: Callable[[int, np.ndarray], np.ndarray]) -> dict:
+    """Of (k, th, text) rows: the stretches around the n-grams that ``find`` (row, n-grams) gives the positions of."""
+    of, at, passage, seeds = [], [], [], []
+    for i, text in enumerate(batch.column(2).to_pylist()):
+        words = words_of(text)
+        g = gram_hashes(words, n)
+        hit = find(i, g)
+        if not len(hit):
+            continue
+        for part in np.split(hit, np.flatnonzero(np.diff(hit) > MARGIN) + 1):
+            lo, hi = max(0, int(part[0]) - MARGIN), int(part[-1]) + n + MARGIN
+            of.append(i), at.append(int(part[0]))
+            passage.append(" ".join(words[lo:hi]))
+            seeds.append(np.unique(g[part]).view(np.int64))
+    of = pa.array(of, pa.int64())
+    return {"k": batch.column(0).take(of), "th": batch.column(1).take(of), "at": pa.array(at, pa.int32()),
+            "passage": pa.array(passage, pa.string()),
+            "seeds": pa.array([s.tolist() for s in seeds], pa.list_(pa.int64()))}
+
+
+def _passages(docs: DataFrame, grams: DataFrame, n: int, scratch: Scratch) -> DataFrame:
+    """(k, th, at, passage, seeds): stretches of documents around seed hits, with the seeds they hold.
+
+    With one block a document is read once. With more, each block gives the places of its hits, and the passages
+    are cut around the places of all blocks, so that they do not depend on how the seeds are dealt out.
+    """
+    spark, src = docs.sparkSession, docs.select("k", "th", "text")
+    blocks = _blocks(grams)
+    if len(blocks) == 1:
+        only = _lookup(spark, blocks[0])
+        return map_arrow(src, _PASSAGES, lambda batch: _cut_passages(batch, n, lambda i, g: only.value.find(g)))
+
+    places = None
+    for block in blocks:
+        lookup = _lookup(spark, block)
+
+        def run(batch: pa.RecordBatch, lookup=lookup) -> dict:
+            hits = [lookup.value.find(gram_hashes(words_of(t), n)) for t in batch.column(2).to_pylist()]
+            of = pa.array([i for i, h in enumerate(hits) if len(h)], pa.int64())
+            return {"k": batch.column(0).take(of), "th": batch.column(1).take(of),
+                    "places": pa.array([h.tolist() for h in hits if len(h)], pa.list_(pa.int32()))}
+        own = scratch.save(map_arrow(src, "k string, th binary, places array<int>", run).dropDuplicates(["k", "th"]))
+        lookup.unpersist()
+        places = own if places is None else places.unionByName(own)
+    places = scratch.save(places.groupBy("k", "th").agg(F.flatten(F.collect_list("places")).alias("places")))
+
+    def cut(batch: pa.RecordBatch) -> dict:
+        at = batch.column(3)
+        return _cut_passages(batch, n, lambda i, g: np.sort(at[i].values.to_numpy()))
+    return map_arrow(src.join(places, ["k", "th"]).select("k", "th", "text", "places"), _PASSAGES, cut)
 
 
 def _score(pairs: DataFrame) -> DataFrame:
@@ -152,42 +197,42 @@ def copies(docs: DataFrame, items: DataFrame, gram: int = 3, min_seeds: int = 1,
     A pair is aligned if its passage holds ``min_seeds`` different seeds of the item, or all if
     it has fewer. ``items``: item_id, text. Items with fewer than ``gram`` words cannot be told from chance and
     never match; null texts are empty; repeated items and repeated documents give one row per different
-    document. Empty tables give an empty result.
+    document. Items of one item_id and different texts are items of their own, so are those of a null item_id (which
+    is then null in the result; of equal scores an item with an id stays). Empty tables give an empty result.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
     src = docs.select(*row_key(key, text), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    items = items.select("item_id", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates()
+    items = items.select("item_id", F.coalesce("text", F.lit("")).alias("text"), *row_key("item_id", "text"))
+    # an item is its id and its text: a null id, or one id of many texts, names each text on its own
+    items = scratch.save(items.select("item_id", "text", F.unhex(F.md5(F.concat("th", F.encode("k", "utf-8")))).alias("ik"))
+                         .dropDuplicates(["ik"]))
     grams = scratch.save(_item_grams(items, gram))
-    blocks = max(1, -(-grams.count() // BLOCK))
-    block = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
-    found = None
-    for b in range(blocks):
-        own = grams.where(block == b)
-        every = _lookup(spark, own.select("gram").distinct())
+    counts = None
+    for own in _blocks(scratch.save(grams.select("gram").distinct())):
+        every = _lookup(spark, own)
         df = scratch.save(_document_counts(src, every, gram))
         every.unpersist()
-        counted = own.join(df, "gram", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-        near = W.partitionBy("item_id").orderBy("pos").rowsBetween(0, SPREAD - 1)   # one item's grams
-        chosen = scratch.save(
-            counted.withColumn("pick", F.min(F.struct("df", "gram")).over(near))
-            .withColumn("size", F.count("*").over(W.partitionBy("item_id")))
-            .where((F.col("pos") <= F.col("size") - SPREAD) | (F.col("pos") == 0))
-            .select("item_id", F.col("pick.gram").alias("gram")).distinct())
-        seeds = chosen.join(chosen.groupBy("item_id").agg(F.count("*").alias("of")), "item_id")
-        rare = _lookup(spark, chosen.select("gram").distinct())
-        passages = scratch.save(_passages(src, rare, gram).dropDuplicates(["k", "th", "at"]))
-        hits = (passages.select("k", "th", "at", F.explode("seeds").alias("gram"))
-                .join(seeds, "gram").groupBy("k", "th", "at", "item_id")
-                .agg(F.count("*").alias("n_seeds"), F.first("of").alias("of"))
-                .where(F.col("n_seeds") >= F.least("of", F.lit(min_seeds))))
-        pairs = (hits.join(passages.drop("seeds"), ["k", "th", "at"])
-                 .join(items.where(block == b).withColumnRenamed("text", "item"), "item_id"))
-        part = _score(pairs).where(F.col("score") >= threshold)
-        found = part if found is None else found.unionByName(part)
-    # the negated score first, so that the least is the best score and then the smallest item
+        counts = df if counts is None else counts.unionByName(df)
+    counted = grams.join(counts, "gram", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    near = W.partitionBy("ik").orderBy("pos").rowsBetween(0, SPREAD - 1)   # one item's grams
+    chosen = scratch.save(
+        counted.withColumn("pick", F.min(F.struct("df", "gram")).over(near))
+        .where((F.col("pos") <= F.col("size") - SPREAD) | (F.col("pos") == 0))
+        .select("ik", F.col("pick.gram").alias("gram")).distinct())
+    seeds = chosen.join(chosen.groupBy("ik").agg(F.count("*").alias("of")), "ik")
+    rare = scratch.save(chosen.select("gram").distinct())
+    passages = scratch.save(_passages(src, rare, gram, scratch).dropDuplicates(["k", "th", "at"]))
+    hits = (passages.select("k", "th", "at", F.explode("seeds").alias("gram"))
+            .join(seeds, "gram").groupBy("k", "th", "at", "ik")
+            .agg(F.count("*").alias("n_seeds"), F.first("of").alias("of"))
+            .where(F.col("n_seeds") >= F.least("of", F.lit(min_seeds))))
+    pairs = (hits.join(passages.drop("seeds"), ["k", "th", "at"])
+             .join(items.withColumnRenamed("text", "item"), "ik"))
+    found = _score(pairs).where(F.col("score") >= threshold)
+    # the negated score first, so that the least is the best score and then the smallest item, one with an id if any
     best = found.groupBy("k", "th").agg(F.min(F.struct(
-        (-F.col("score")).alias("s"), "item_id", (-F.col("n_seeds")).alias("n"))).alias("b"))
+        (-F.col("score")).alias("s"), F.col("item_id").isNull().alias("null"), "item_id", (-F.col("n_seeds")).alias("n"))).alias("b"))
     return scratch.save(best.select("k", "th", "b.item_id", (-F.col("b.n")).alias("n_seeds"), (-F.col("b.s")).alias("score")))
 
 
