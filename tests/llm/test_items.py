@@ -43,3 +43,11 @@ def test_block_is_a_bound(spark, docs_of, monkeypatch, ids):
     monkeypatch.setattr(decontaminate, "_lookup", lambda spark, grams: sizes.append(grams.count()) or lookup(spark, grams))
     assert sorted(map(tuple, decontaminate.contaminated(docs_of(rows), bench).collect()), key=str) == one
     assert len(one) == 12 and len(sizes) > 2 and max(sizes) <= 200
+
+
+def test_all_items_of_a_document_are_listed(spark, docs_of):
+    texts = [words(300 + i, 30) for i in range(3)]
+    bench = spark.createDataFrame([(1, texts[0]), (2, texts[1]), (2, texts[2]), (4, words(400, 30))], "item_id bigint, text string")
+    rows = [(1, (" " + words(500, 200) + " ").join(texts)), (2, texts[0]), (2, texts[0]), (3, words(501, 80))]
+    found = decontaminate.contaminated_items(docs_of(rows), bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (1, 2), (1, 2), (2, 1)]

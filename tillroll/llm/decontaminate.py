@@ -179,26 +179,26 @@ def _passages(docs: DataFrame, grams: DataFrame, n: int, scratch: Scratch) -> Da
 def _score(pairs: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> dict:
         score = []
-        for passage, item in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist()):
+        for passage, item in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist()):
             own = words_of(item)
             score.append(align(passage.split(" "), own) / (MATCH * min(FULL, len(own))))
-        return {c: batch.column(i) for i, c in enumerate(("k", "th", "item_id", "n_seeds"))} | {"score": score}
+        return {c: batch.column(i) for i, c in enumerate(("k", "th", "ik", "item_id", "n_seeds"))} | {"score": score}
     kind = pairs.schema["item_id"].dataType.simpleString()
-    return map_arrow(pairs.select("k", "th", "item_id", "n_seeds", "passage", "item"),
-                     f"k string, th binary, item_id {kind}, n_seeds bigint, score double", run)
+    return map_arrow(pairs.select("k", "th", "ik", "item_id", "n_seeds", "passage", "item"),
+                     f"k string, th binary, ik binary, item_id {kind}, n_seeds bigint, score double", run)
 
 
-def copies(docs: DataFrame, items: DataFrame, gram: int = 3, min_seeds: int = 1, threshold: float = 0.5,
-           key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(k, th, item_id, n_seeds, score): the best aligned item of every document that holds a copy.
+def links(docs: DataFrame, items: DataFrame, gram: int = 3, min_seeds: int = 1, threshold: float = 0.5,
+          key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(k, th, ik, item_id, n_seeds, score): every document with every item it holds a copy of, by its best passage.
 
     The score is the alignment's share of what ``min(item's words, 50)`` matching words would give (over 1
-    for long copies of longer items); a document is listed from ``threshold`` up. Of equal scores the smallest item_id stays.
+    for long copies of longer items); a document is listed from ``threshold`` up.
     A pair is aligned if its passage holds ``min_seeds`` different seeds of the item, or all if
     it has fewer. ``items``: item_id, text. Items with fewer than ``gram`` words cannot be told from chance and
     never match; null texts are empty; repeated items and repeated documents give one row per different
-    document. Items of one item_id and different texts are items of their own, so are those of a null item_id (which
-    is then null in the result; of equal scores an item with an id stays). Empty tables give an empty result.
+    document and item. Items of one item_id and different texts are items of their own, so are those of a null
+    item_id (which is then null in the result). Empty tables give an empty result.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
@@ -230,10 +230,28 @@ def copies(docs: DataFrame, items: DataFrame, gram: int = 3, min_seeds: int = 1,
     pairs = (hits.join(passages.drop("seeds"), ["k", "th", "at"])
              .join(items.withColumnRenamed("text", "item"), "ik"))
     found = _score(pairs).where(F.col("score") >= threshold)
-    # the negated score first, so that the least is the best score and then the smallest item, one with an id if any
-    best = found.groupBy("k", "th").agg(F.min(F.struct(
+    return scratch.save(found.groupBy("k", "th", "ik").agg(
+        F.first("item_id").alias("item_id"), F.max(F.struct("score", "n_seeds")).alias("b"))
+        .select("k", "th", "ik", "item_id", "b.n_seeds", "b.score"))
+
+
+def copies(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """(k, th, item_id, n_seeds, score): the best aligned item of every document that holds a copy. See :func:`links`.
+
+    Of equal scores the smallest item_id stays, one with an id if any.
+    """
+    # the negated score first, so that the least is the best score and then the smallest item
+    best = links(docs, items, **options).groupBy("k", "th").agg(F.min(F.struct(
         (-F.col("score")).alias("s"), F.col("item_id").isNull().alias("null"), "item_id", (-F.col("n_seeds")).alias("n"))).alias("b"))
-    return scratch.save(best.select("k", "th", "b.item_id", (-F.col("b.n")).alias("n_seeds"), (-F.col("b.s")).alias("score")))
+    return Scratch(docs.sparkSession).save(
+        best.select("k", "th", "b.item_id", (-F.col("b.n")).alias("n_seeds"), (-F.col("b.s")).alias("score")))
+
+
+def contaminated_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row per contaminated document and item: key, item_id, n_seeds, score. See :func:`links`."""
+    found = links(docs, items, key=key, text=text, **options)
+    own = docs.select(F.col(f"`{key}`").alias("key"), *row_key(key, text)).join(found, ["k", "th"]).dropDuplicates(["k", "th", "ik"])
+    return own.select(F.col("key").alias(key), "item_id", "n_seeds", "score")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
