@@ -51,3 +51,12 @@ def test_all_items_of_a_document_are_listed(spark, docs_of):
     rows = [(1, (" " + words(500, 200) + " ").join(texts)), (2, texts[0]), (2, texts[0]), (3, words(501, 80))]
     found = decontaminate.contaminated_items(docs_of(rows), bench).collect()
     assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (1, 2), (1, 2), (2, 1)]
+
+
+def test_one_trigram_of_a_short_item_is_no_copy(spark, docs_of):
+    items = [(1, "what is the capital of France"), (2, "name the capital of Peru"), (3, "one two three")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = [(0, "Bern is called the capital of a federation"), (1, "Q: What is the capital of France? A"),
+            (2, "so name the capital of Peru now"), (3, "count one two three four"), (4, "count one two and three")]
+    found = {r.doc_id: r.item_id for r in decontaminate.contaminated(docs_of(rows), bench).collect()}
+    assert found == {1: 1, 2: 2, 3: 3}

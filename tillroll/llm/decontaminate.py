@@ -32,6 +32,7 @@ SPREAD = 2
 BLOCK = 1_000_000
 MARGIN = 64           # words kept on either side of seed hits, and the gap that still joins two hits
 MATCH, MISMATCH, GAP = 2, -1, -1
+LEAST = 4             # matching words that an alignment is worth at least (all, if the item has fewer), however short the item
 FULL = 50             # an item's words beyond so many do not raise the score that counts as a copy
 
 
@@ -181,7 +182,8 @@ def _score(pairs: DataFrame) -> DataFrame:
         score = []
         for passage, item in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist()):
             own = words_of(item)
-            score.append(align(passage.split(" "), own) / (MATCH * min(FULL, len(own))))
+            best = align(passage.split(" "), own)
+            score.append(best / (MATCH * min(FULL, len(own))) if best >= MATCH * min(LEAST, len(own)) else 0.0)
         return {c: batch.column(i) for i, c in enumerate(("k", "th", "ik", "item_id", "n_seeds"))} | {"score": score}
     kind = pairs.schema["item_id"].dataType.simpleString()
     return map_arrow(pairs.select("k", "th", "ik", "item_id", "n_seeds", "passage", "item"),
@@ -193,7 +195,8 @@ def links(docs: DataFrame, items: DataFrame, gram: int = 3, min_seeds: int = 1,
     """(k, th, ik, item_id, n_seeds, score): every document with every item it holds a copy of, by its best passage.
 
     The score is the alignment's share of what ``min(item's words, 50)`` matching words would give (over 1
-    for long copies of longer items); a document is listed from ``threshold`` up.
+    for long copies of longer items); a document is listed from ``threshold`` up,
+    and never for less than ``LEAST`` matching words, so that one shared n-gram of a short item is no copy.
     A pair is aligned if its passage holds ``min_seeds`` different seeds of the item, or all if
     it has fewer. ``items``: item_id, text. Items with fewer than ``gram`` words cannot be told from chance and
     never match; null texts are empty; repeated items and repeated documents give one row per different
