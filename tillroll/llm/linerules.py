@@ -4,9 +4,11 @@ Every line with a word is judged by itself; failing lines are removed, and a
 document that loses too much of its text is rejected:
 
 * punctuation: its share of symbol characters is too high, or most of its words end in "!!" or more
-* navigation: it has several cell separators (`` | ``) for its length, or is a short line of links
+* navigation: it has a cell separator (`` | ``) for every four words or more
 * boilerplate: it equals an earlier line of the document, or holds a phrase of a notice
 
+Menus with one link a line or parted by other signs, single "!" and missing end punctuation are not judged.
+
 Document-wide base rules (too few words, too many words in repeated windows) come beside them.
 """
 
