@@ -70,7 +70,7 @@ class Scratch:
 ROWS = 256   # of an Arrow batch, as many as are worked on and sent back at once
 
 
-def map_arrow(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict]) -> DataFrame:
+def map_arrow(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], rows: int = ROWS) -> DataFrame:
     """One dict of columns (arrays or lists) out for each slice of an Arrow batch, so that long texts do not pile up."""
     from pyspark.sql.types import _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -79,10 +79,10 @@ def map_arrow(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
+            for at in range(0, batch.num_rows, rows):
                 if at:
                     pa.default_memory_pool().release_unused()
-                cols = fn(batch.slice(at, ROWS))
+                cols = fn(batch.slice(at, rows))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[f.name], type=f.type, from_pandas=False)
                      if not isinstance(cols[f.name], (pa.Array, pa.ChunkedArray)) else cols[f.name].cast(f.type)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tillroll.llm import bpe, chat, decontaminate, langid, linerules, qualitynet, simhash, substring, tokencount, urlfilter
+from tillroll.llm import (bpe, chat, decontaminate, fim, langid, linerules, negatives, pieces, qualitynet, simhash, substring,
+                          tokencount, urlfilter)
 from tillroll.llm.common import read_table
 
 
@@ -86,6 +87,26 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.restore(fim.transform(read_table(spark, sf_dir, "documents"), seed=42, rate=50, spm=80))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      *[F.sha2(F.col(c).cast("binary"), 256).alias(f"{d}_sha256") for c, d in (("output", "output"), ("restored", "restored"))])
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh row are moved to the next one, so that negatives are hard."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, moved,
+                          positives=5, negatives=3, low=50, high=95, scale=256)
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pieces.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), decoded=True)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_urls": op1_urls,
     "op2_bpe": op2_bpe,
@@ -97,6 +118,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_rules": op8_line_rules,
     "op9_simhash": op9_simhash,
     "op10_tokens": op10_tokens,
+    "op11_fim": op11_fim,
+    "op12_negatives": op12_negatives,
+    "op13_pieces": op13_pieces,
 }
 
 from tillroll.llm.sql import SQL  # noqa: E402, F401

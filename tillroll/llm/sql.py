@@ -84,4 +84,38 @@ b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 SELECT *, NOT base_failed AND 50 * word_chars <= 100 * n_kept_chars AS kept FROM b
 """
 
-SQL: dict[str, str] = {"op1_urls": OP1, "op4_substring": OP4, "op6_chat": OP6, "op8_line_rules": OP8}
+OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+    ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+    ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+c AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+         WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+           ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM p
+"""
+
+OP12 = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)),
+s AS (SELECT a.r AS ar, a.vec_id AS anchor_id, o.r AS r, o.vec_id AS vec_id, a.label = o.label AS same,
+    coalesce(list_sum(list_transform(list_zip(a.x, o.x), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM v a JOIN v o ON a.r <> o.r AND len(a.x) = len(o.x) WHERE a.vec_id % 50 = 0),
+pos AS (SELECT *, row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id NULLS LAST, r) AS k FROM s WHERE same QUALIFY k <= 5)
+SELECT pos.anchor_id, pos.vec_id AS positive_id,
+    row_number() OVER (PARTITION BY pos.ar, pos.r ORDER BY n.score DESC, n.vec_id NULLS LAST, n.r)::INTEGER AS rank,
+    n.vec_id AS negative_id, pos.score AS positive_score, n.score AS negative_score
+FROM pos JOIN s n ON n.ar = pos.ar AND NOT n.same AND 50 * pos.score <= 100 * n.score AND 100 * n.score <= 95 * pos.score
+QUALIFY rank <= 3
+"""
+
+SQL: dict[str, str] = {"op1_urls": OP1, "op4_substring": OP4, "op6_chat": OP6, "op8_line_rules": OP8, "op11_fim": OP11,
+                       "op12_negatives": OP12}
