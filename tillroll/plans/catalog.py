@@ -191,9 +191,9 @@ def _roundtrip(kind: str, report: ShopReport) -> Query:
             return sinks.import_json(spark, path, df.schema)
         # a table of this call's own; its files outlive the dropped name until the application ends
         table = f"tillroll_{report.__name__}_{uuid.uuid4().hex[:12]}"
-        schema = sinks.load_warehouse_table(df, table, path).schema
+        out = sinks.load_warehouse_table(df, table, path)
         spark.sql(f"DROP TABLE {table}")
-        return spark.read.schema(schema).parquet(path)
+        return out
     return run
 
 

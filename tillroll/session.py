@@ -78,3 +78,9 @@ def delete_on_exit(spark: SparkSession, path: str) -> None:
     """Let the file system remove ``path`` when the application ends."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.dates import month_key
 from tillroll.functions.numeric import money, rate, round_div_decimal
 from tillroll.sources import schema as S
+from tillroll.sources import sinks
 
 
 @dataclass(frozen=True)
@@ -31,6 +32,7 @@ class Shop:
     products: DataFrame
     categories: DataFrame
     spend: DataFrame
+    totals: DataFrame | None = None   # a written order grain (operators.facts.with_order_grain)
 
     def table(self, name: str) -> DataFrame:
         return {
@@ -43,7 +45,7 @@ class Shop:
 def _read(spark: SparkSession, path: str, name: str, fmt: str) -> DataFrame:
     reader = spark.read.schema(S.TABLES[name])
     if fmt == "csv":
-        return reader.option("header", True).csv(f"{path}/{name}")
+        return sinks.import_csv(spark, f"{path}/{name}", S.TABLES[name])
     if fmt == "json":
         return reader.json(f"{path}/{name}")
     return reader.format(fmt).load(f"{path}/{name}")
