@@ -61,6 +61,19 @@ class Scratch:
         out._scratch_path = where
         return out
 
+    def save_bucketed(self, df: DataFrame, by: str) -> DataFrame:
+        """As ``save``, in as many buckets of the column ``by`` as shuffles have partitions: grouping by it moves no row."""
+        name = f"tillroll_scratch_{uuid.uuid4().hex}"
+        where = f"{shared_folder(self.spark)}/{name}"
+        (df.write.option("compression", "zstd").format("parquet").option("path", where)
+         .bucketBy(int(self.spark.conf.get("spark.sql.shuffle.partitions")), by).saveAsTable(name))
+        path, fs = self._path(where)
+        fs.deleteOnExit(path)
+        out = self.spark.table(name)
+        out._scratch_path = where
+        self.spark.sql(f"DROP TABLE {name}")       # only the name: the files stay, and the frame knows them
+        return out
+
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
             path, fs = self._path(t._scratch_path)

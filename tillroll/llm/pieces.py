@@ -4,7 +4,8 @@ A marked word is a run of white-space markers with the characters up to the next
 piece of the model goes on behind a marker, the library's ids of a text are those of its marked words
 in a row. So each distinct word of the corpus is segmented once:
 
-1. a map numbers the distinct words of blocks of documents; a document becomes the numbers of its words;
+1. a map numbers the distinct words of blocks of documents; documents become the numbers of their words,
+   written in buckets of the block's name, so that they need not move again;
 2. the blocks' words are dealt by hash to buckets of bounded size; a bucket segments each of its
    words once, whatever number of blocks hold it, and answers every block;
 3. a block's answers meet its documents, whose ids are gathered by position.
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import Scratch, map_arrow, text_bytes
 
 MARK = "▁"
-BLOCK = 16 << 20          # bytes of text whose words are numbered together
+BLOCK = 32 << 20          # bytes of text whose words are numbered together
+DOCS = 256                # of a block that stand in one row of the written table
 WORDS = 400_000           # of all blocks together that a bucket answers, about
 
 
@@ -82,59 +84,69 @@ def segmenter(path: str) -> Segmenter:
     return _SEGMENTERS[path]
 
 
+def _squeeze(a: np.ndarray) -> bytes:
+    """Whole numbers below 2**32, byte by byte (all lowest bytes first), as a zstd frame."""
+    planes = np.ascontiguousarray(a.astype("<u4")).view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _swell(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def _pack(words: list[bytes]) -> tuple[bytes, bytes]:
     """Lengths and bytes of words, as zstd frames."""
-    z = zstandard.ZstdCompressor(level=3)
-    return z.compress(np.array(list(map(len, words)), np.uint32).tobytes()), z.compress(b"".join(words))
+    return _squeeze(np.fromiter(map(len, words), np.uint32, len(words))), zstandard.ZstdCompressor(level=3).compress(b"".join(words))
 
 
 def _unpack(sizes: bytes, data: bytes) -> list[bytes]:
-    z = zstandard.ZstdDecompressor()
-    ends = np.cumsum(np.frombuffer(z.decompress(sizes), np.uint32).astype(np.int64)).tolist()
-    body = z.decompress(data)
+    ends = np.cumsum(_swell(sizes).astype(np.int64)).tolist()
+    body = zstandard.ZstdDecompressor().decompress(data)
     return [body[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _numbered(src: DataFrame, model: str, block: int) -> DataFrame:
-    """Rows of documents (key, numbers) and, behind those of a block, one row of its words (sizes, words, n)."""
+    """Rows of some documents of a block (keys, sizes, numbers) and, behind them, one row of its words (sizes, words, n)."""
     kind = src.schema["key"].dataType.simpleString()
-    schema = f"block string, key {kind}, numbers binary, sizes binary, words binary, n bigint"
+    schema = f"block string, keys array<{kind}>, numbers binary, sizes binary, words binary, n bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seg, z = segmenter(model), zstandard.ZstdCompressor(level=3)
-        name, held, table, key_kind = uuid.uuid4().hex, 0, None, None
+        seg, key_kind = segmenter(model), None
+        name, held, table = uuid.uuid4().hex, 0, None
 
         def out(keys, numbers, sizes, words, n):
-            m = len(keys)
+            keys = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)
             return pa.RecordBatch.from_arrays(
-                [pa.array([name] * m, pa.string()), keys, pa.array(numbers, pa.binary()), pa.array(sizes, pa.binary()),
-                 pa.array(words, pa.binary()), pa.array(n, pa.int64())],
-                names=["block", "key", "numbers", "sizes", "words", "n"])
+                [pa.array([name], pa.string()), keys, pa.array([numbers], pa.binary()), pa.array([sizes], pa.binary()),
+                 pa.array([words], pa.binary()), pa.array([n], pa.int64())],
+                names=["block", "keys", "numbers", "sizes", "words", "n"])
+
+        def some(keys, numbers):
+            return out(keys, _squeeze(np.concatenate(numbers)), _squeeze(np.array([len(x) for x in numbers])), None, None)
 
         def close():
-            sizes, words = _pack(list(table))
-            return out(pa.nulls(1, key_kind), [None], [sizes], [words], [len(table)])
+            return out(pa.nulls(0, key_kind), None, *_pack(list(table)), len(table))
 
         for batch in batches:
             key_kind = batch.schema.field(0).type
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, DOCS):
+                part = batch.slice(at, DOCS)
                 numbers, start = [], 0
                 for i, data in enumerate(part.column(1).to_pylist()):
                     if table is None:
                         table = defaultdict()
                         table.default_factory = table.__len__
-                    got = np.array(list(map(table.__getitem__, seg.words(data))), np.uint32)
-                    numbers.append(z.compress(got.tobytes()))
+                    numbers.append(np.array(list(map(table.__getitem__, seg.words(data))), np.uint32))
                     held += len(data)
                     if held >= block:
-                        yield out(part.column(0).slice(start, i + 1 - start), numbers, *[[None] * len(numbers)] * 3)
+                        yield some(part.column(0).slice(start, i + 1 - start), numbers)
                         yield close()
                         name, held, table = uuid.uuid4().hex, 0, None
                         numbers, start = [], i + 1
                 if numbers:
-                    yield out(part.column(0).slice(start), numbers, *[[None] * len(numbers)] * 3)
-        if table:
+                    yield some(part.column(0).slice(start), numbers)
+        if table is not None:
             yield close()
 
     return src.mapInArrow(run, schema)
@@ -156,7 +168,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
     src = docs.select(F.col(f"`{key}`").alias("key"), text_bytes(F.col(f"`{text}`")).alias("body"))
     kind = src.schema["key"].dataType.simpleString()
     # written once: the names of blocks and the numbers of words hold for both uses below
-    numbered = scratch.save(_numbered(src, model, block))
+    numbered = scratch.save_bucketed(_numbered(src, model, block), "block")
     words = numbered.where(F.col("n").isNotNull()).select("block", "sizes", "words", "n")
     buckets = max(1, -(-(words.agg(F.sum("n")).first()[0] or 0) // WORDS))
 
@@ -169,12 +181,12 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
             edges = np.flatnonzero(np.diff(h[order])) + 1
             for at in np.split(order, edges) if len(order) else []:
                 packed = _pack([all_words[i] for i in at.tolist()])
-                for c, v in zip(cols, (int(h[at[0]]), name, at.astype("<u4").tobytes(), *packed)):
+                for c, v in zip(cols, (int(h[at[0]]), name, _squeeze(np.diff(at, prepend=0)), *packed)):
                     cols[c].append(v)
         return cols
 
     def answer(group: pa.Table) -> pa.Table:
-        seg, z = segmenter(model), zstandard.ZstdCompressor(level=3)
+        seg = segmenter(model)
         of: dict[bytes, bytes] = {}                      # each distinct word of the bucket, segmented once
         rows = []
         for sizes, data in zip(group["sizes"].to_pylist(), group["words"].to_pylist()):
@@ -182,7 +194,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
             new = [w for w in mine if w not in of]
             of.update(zip(new, [np.array(g, "<u4").tobytes() for g in seg.ids(new)]))
             got = [of[w] for w in mine]
-            rows.append((z.compress(np.array(list(map(len, got)), "<u4").tobytes()), z.compress(b"".join(got))))
+            rows.append((_squeeze(np.fromiter(map(len, got), np.uint32, len(got)) // 4), _squeeze(np.frombuffer(b"".join(got), "<u4"))))
         return pa.table({"block": group["block"], "at": group["at"], "sizes": pa.array([a for a, _ in rows], pa.binary()),
                          "ids": pa.array([b for _, b in rows], pa.binary())})
 
@@ -191,34 +203,32 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
     answers = dealt.groupBy("bucket").applyInArrow(answer, "block string, at binary, sizes binary, ids binary")
 
     def gather(mine: pa.Table, table: pa.Table) -> pa.Table:
-        z = zstandard.ZstdDecompressor()
-        parts = [(np.frombuffer(at, "<u4"), np.frombuffer(z.decompress(s), "<u4") // 4, np.frombuffer(z.decompress(i), "<u4"))
+        parts = [(np.cumsum(_swell(at).astype(np.int64)), _swell(s).astype(np.int64), _swell(i).astype(np.int32))
                  for at, s, i in zip(*(table[c].to_pylist() for c in ("at", "sizes", "ids")))]
-        at = np.concatenate([p[0] for p in parts] or [np.zeros(0, np.uint32)]).astype(np.int64)
-        size = np.zeros(len(at), np.int64)
-        start = np.zeros(len(at), np.int64)
-        flat = np.concatenate([p[2] for p in parts] or [np.zeros(0, np.uint32)]).astype(np.int32)
-        length = np.concatenate([p[1] for p in parts] or [np.zeros(0, np.uint32)]).astype(np.int64)
-        size[at] = length
-        start[at] = np.cumsum(length) - length
-        ids, ends, texts = [], [0], []
-        for packed in mine["numbers"].to_pylist():
-            n = np.frombuffer(z.decompress(packed), np.uint32)
+        at, length, flat = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
+        size, start = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        size[at], start[at] = length, np.cumsum(length) - length
+        keys = [x.values for x in mine["keys"].combine_chunks()] if len(mine) else []
+        ids, ends, texts = [], [np.zeros(1, np.int64)], []
+        for packed, words in zip(mine["numbers"].to_pylist(), mine["sizes"].to_pylist()):
+            n, words = _swell(packed), _swell(words).astype(np.int64)
             long = size[n]
-            total = int(long.sum())
             begin = np.cumsum(long) - long
-            got = flat[np.repeat(start[n] - begin, long) + np.arange(total)]
+            got = flat[np.repeat(start[n] - begin, long) + np.arange(int(long.sum()))].astype(np.int32)
+            last = np.r_[0, np.cumsum(long)][np.cumsum(words)]
             ids.append(got)
-            ends.append(ends[-1] + total)
+            ends.append(ends[-1][-1] + last)
             if decoded:
-                texts.append(segmenter(model).sp.decode(got.tolist()) if total else "")
+                sp = segmenter(model).sp
+                texts += [sp.decode(got[a:b].tolist()) if b > a else "" for a, b in zip([0, *last.tolist()], last.tolist())]
         values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-        cols = {"key": mine["key"], "ids": pa.ListArray.from_arrays(pa.array(np.array(ends), pa.int32()), pa.array(values, pa.int32()))}
+        cols = {"key": pa.concat_arrays(keys) if keys else pa.nulls(0, mine["keys"].type.value_type),
+                "ids": pa.ListArray.from_arrays(pa.array(np.concatenate(ends), pa.int32()), pa.array(values, pa.int32()))}
         if decoded:
             cols["decoded"] = pa.array(texts, pa.string())
         return pa.table(cols)
 
-    mine = numbered.where(F.col("n").isNull()).select("block", "key", "numbers")
+    mine = numbered.where(F.col("n").isNull()).select("block", "keys", "numbers", "sizes")
     out = f"key {kind}, ids array<int>" + ", decoded string" * decoded
     return mine.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(gather, out).withColumnRenamed("key", key)
 
