@@ -13,6 +13,8 @@ because ``n_lines``, ``ship_micros`` and ``ship_lines`` are carried along.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,33 +57,28 @@ def sales_lines(shop: Shop, status: str | None = None) -> DataFrame:
     )
 
 
-def order_totals(shop: Shop, status: str | None = None) -> DataFrame:
-    """Order grain: order attributes plus sums over the order's lines.
-
-    Columns: order_id, customer_id, status, channel, ordered_at, n_lines,
-    units, revenue, net_revenue, profit, ship_micros (sum over lines of
-    shipped - ordered, microseconds), ship_lines (lines with a ship time).
-    Orders without lines are absent (inner join, as in the reports).
-    """
-    per_disc = _per_line(shop, "discount_pct")
-    per_ship = _per_line(shop, "shipped_at")
+def line_totals(lines: DataFrame) -> DataFrame:
+    """Sums of an order's lines, one row per order_id."""
     aggs = [
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("quantity").alias("units"),
         F.sum("line_revenue").alias("revenue"),
         F.sum(F.col("line_revenue") - F.col("line_cost")).alias("profit"),
     ]
-    if per_disc:
+    if "discount_pct" in lines.columns:
         aggs.append(F.sum(F.col("line_revenue") * (F.lit(1) - F.col("discount_pct"))).alias("net_revenue"))
-    if per_ship:
+    if "shipped_at" in lines.columns:
         aggs += [F.sum(epoch_micros(F.col("shipped_at"))).alias("ship_at_micros"),
                  F.count("shipped_at").alias("ship_lines")]
-    per_order = shop.lines.groupBy("order_id").agg(*aggs)
+    return lines.groupBy("order_id").agg(*aggs)
 
-    o = _orders(shop, status)
-    joined = per_order.join(o, "order_id")
-    net: Column = F.col("net_revenue") if per_disc else F.col("revenue") * (F.lit(1) - F.col("discount_pct"))
-    if per_ship:
+
+def join_totals(per_order: DataFrame, orders: DataFrame, line_columns: list[str], hint: str | None = None) -> DataFrame:
+    """:func:`line_totals` joined to their orders, discount and ship time taken from where the layout has them."""
+    joined = (per_order.hint(hint) if hint else per_order).join(orders, "order_id")
+    net: Column = (F.col("net_revenue") if "discount_pct" in line_columns
+                   else F.col("revenue") * (F.lit(1) - F.col("discount_pct")))
+    if "shipped_at" in line_columns:
         ship_micros = (F.col("ship_at_micros") - F.col("ship_lines").cast("decimal(18,0)")
                        * epoch_micros(F.col("ordered_at"))).cast(MICROS)
         ship_lines = F.col("ship_lines")
@@ -96,6 +93,30 @@ def order_totals(shop: Shop, status: str | None = None) -> DataFrame:
     )
 
 
+def order_totals(shop: Shop, status: str | None = None) -> DataFrame:
+    """Order grain: order attributes plus sums over the order's lines.
+
+    Columns: order_id, customer_id, status, channel, ordered_at, n_lines,
+    units, revenue, net_revenue, profit, ship_micros (sum over lines of
+    shipped - ordered, microseconds), ship_lines (lines with a ship time).
+    Orders without lines are absent (inner join, as in the reports). A shop with a
+    written order grain (:func:`with_order_grain`) is read there.
+    """
+    if shop.totals is not None:
+        return shop.totals if status is None else shop.totals.where(F.col("status") == status)
+    return join_totals(line_totals(shop.lines), _orders(shop, status), shop.lines.columns)
+
+
+def with_order_grain(shop: Shop, path: str) -> Shop:
+    """``shop`` with its order grain written to ``path`` (shared storage), so that lines are read once for all reports.
+    Money keeps its DECIMAL types, so reports over it are the same to the digit.
+    """
+    spark = shop.orders.sparkSession
+    grain = order_totals(replace(shop, totals=None))
+    grain.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return replace(shop, totals=spark.read.schema(grain.schema).parquet(path))
+
+
 def order_product_totals(shop: Shop, status: str | None = COMPLETED) -> DataFrame:
     """(order, product) grain for product reports: lines of the order's status only.
 

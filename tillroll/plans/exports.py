@@ -16,8 +16,9 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import shape
+from tillroll.operators.facts import with_order_grain
 from tillroll.plans import channel, clv, cohort, marketing, product, revenue, rfm
-from tillroll.session import ensure_checkpoint_dir
+from tillroll.session import ensure_checkpoint_dir, remove
 from tillroll.sources import sinks
 from tillroll.sources.tables import Shop, load_shop, star_tables
 
@@ -34,13 +35,20 @@ EXPORTS = {
 
 
 def export_all(shop: Shop, out_dir: str) -> DataFrame:
-    """Write the seven exports and the KPI summary; return the log figures."""
+    """Write the seven exports and the KPI summary; return the log figures.
+
+    The reports share one order grain, written beside the exports for the time of the run: lines are
+    summed once for the five reports that count orders (products need their own grain).
+    """
     spark = shop.orders.sparkSession
+    scratch = f"{out_dir}/_order_grain"
+    shop = with_order_grain(shop, scratch)
     frames = {}
     for name, fn in EXPORTS.items():   # each report runs once; what follows reads the files
         df = fn(shop)
         sinks.export_csv(df, f"{out_dir}/{name}")
         frames[name] = sinks.import_csv(spark, f"{out_dir}/{name}", df.schema)
+    remove(spark, scratch)
     summary = shape.kpi_summary(frames["revenue_trend"], frames["product_performance"],
                                 frames["channel_performance"])
     sinks.export_json(summary, f"{out_dir}/summary")
