@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import ODD
 from tillroll.llm import substring
@@ -68,3 +69,22 @@ def test_common_line_in_many_documents(docs_of):
     rows = [(k, " ".join(rng.choices("xyz", k=30)) + f" u{k} " + (passage if k % 3 == 0 else line) + f" v{k} " +
              " ".join(rng.choices("xyz", k=30))) for k in range(150)]
     assert got(substring.remove_repeats(docs_of(rows))) == brute(rows, 35)
+
+
+def test_spans_of_equal_rows_are_those_of_one_text(spark):
+    """50,000 equal rows of 400 words: the collected spans do not grow with the copies, and every copy loses its words."""
+    from tillroll.llm.common import Scratch, text_bytes, text_hash
+
+    text = " ".join(f"w{i * i % 977}x{i}" for i in range(400))
+
+    def rows(n):
+        return spark.range(n).select(F.lit(1).cast("bigint").alias("doc_id"), F.lit(text).alias("text"))
+
+    def longest(n):
+        src = rows(n).select(F.col("doc_id").alias("key"), text_hash(F.col("text")).alias("th"), text_bytes("text").alias("body"),
+                             F.lit(None).cast("int").alias("rest"))
+        return substring.repeated_spans(src, Scratch(spark), 35, 8).agg(F.max(F.size("first"))).first()[0]
+
+    assert longest(50_000) == longest(2) <= 400
+    out = substring.remove_repeats(rows(50_000), window=35).agg(F.count("*"), F.min("n_removed"), F.max("text")).first()
+    assert tuple(out) == (50_000, 400, "")

@@ -146,8 +146,9 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = 35, gram: in
     spans = (met.where("NOT differ").select("key", "th", "first", words)
              .unionByName(whole.select("key", "th", "first", words))
              .unionByName(single.select("key", "th", "first", F.lit(window).alias("words"))))
-    out = scratch.save(spans.groupBy("key", "th").agg(
-        F.collect_list("first").alias("first"), F.collect_list("words").alias("words")))
+    # equal rows have the same spans: a set, map-side first, so that a group holds those of one text however often it occurs
+    out = scratch.save(spans.groupBy("key", "th").agg(F.collect_set(F.struct("first", "words")).alias("span"))
+                       .select("key", "th", "span.first", "span.words"))
     scratch.drop(met, kinds, windows, twice)
     return out
 
