@@ -28,6 +28,8 @@ point value whose rank is the rows before it plus one. Without a tie-break
 column heavy values are split by a hash of the row: tasks stay balanced and
 ranks exact, while row numbers follow an arbitrary order among ties.
 
+LAG needs the last row before a bucket only, which one aggregate finds (:func:`global_lag`).
+
 Several orderings of the same rows (the three RFM tiles) share jobs 1-3 and
 chain their windows on one DataFrame: one shuffle per ordering, no joins.
 """
@@ -37,13 +39,14 @@ from __future__ import annotations
 import math
 import warnings
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.functions.dates import epoch_micros
 from tillroll.session import ensure_checkpoint_dir
 
 _DIV = "div"
@@ -494,3 +497,48 @@ def global_ntile(df: DataFrame, key: str, tiles: int, out: str, *, descending: b
     """``NTILE(tiles) OVER (ORDER BY key [DESC], tiebreak)`` without one partition."""
     return global_ntiles(df, [(key, descending, out)], tiles, tiebreak=tiebreak,
                          buckets=buckets, materialize=materialize)
+
+
+def global_lag(df: DataFrame, key: str, values: dict[str, str], *, tiebreak: str, descending: bool = False,
+               nulls_first: bool | None = None, buckets: int | None = None, materialize: bool = True) -> DataFrame:
+    """``LAG(value) OVER (ORDER BY key [DESC], tiebreak)`` without one partition, for several values at once.
+
+    ``values`` maps columns to the names of their previous row's values (NULL in the first row).
+    ``tiebreak`` is unique. Inside a bucket a window gives them; a bucket's first row takes those of the last row before the
+    bucket, which one aggregate finds: the last row of every bucket, about three a quantile slot, is all that leaves the executors.
+    """
+    spec = OrderSpec(key, descending, nulls_first)
+    # a time is ordered by its microseconds, exactly
+    dtype = df.schema[key].dataType
+    by = "_lagkey"
+    number = _as_number(F.col(key), dtype)
+    base = df.withColumn(by, number)
+    work, (p,) = _plan(base, [replace(spec, key=by)], tiebreak, buckets or default_buckets(df), "lag", materialize)
+    order = F.col(p.sort_col).asc_nulls_first() if spec.nulls_go_first else F.col(p.sort_col).asc_nulls_last()
+    # a bucket's keys are all NULL or all not, so the greatest (key, tiebreak) is its last row
+    last = (work.groupBy(p.bucket.alias("b"))
+            .agg(F.max_by(F.struct(*[F.col(c) for c in values]), F.struct(F.col(p.sort_col), F.col(tiebreak))).alias("v"))
+            .collect())
+    rows, before = [], None
+    for r in sorted(last, key=lambda r: r["b"]):
+        if before is not None:
+            rows.append((r["b"], *before))
+        before = tuple(r["v"])
+    carry_type = T.StructType([T.StructField("_lagb", T.LongType()), *[
+        T.StructField(f"_carry{i}", work.schema[c].dataType) for i, c in enumerate(values)]])
+    carried = F.broadcast(df.sparkSession.createDataFrame(rows, carry_type))     # one row a bucket
+    out = work.withColumn("_lagb", p.bucket).join(carried, "_lagb", "left")
+    w = Window.partitionBy("_lagb").orderBy(order, F.col(tiebreak).asc())
+    out = out.withColumn("_lagrow", F.row_number().over(w))
+    for i, (c, name) in enumerate(values.items()):
+        out = out.withColumn(name, F.when(F.col("_lagrow") == 1, F.col(f"_carry{i}")).otherwise(F.lag(c).over(w)))
+    return out.select(*df.columns, *values.values())
+
+
+def _as_number(c: Column, dtype: T.DataType) -> Column:
+    """The column as a number of the same order (dates and times have no quantiles of their own)."""
+    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
+        return epoch_micros(c).cast("bigint")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c)
+    return c

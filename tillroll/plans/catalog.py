@@ -1,8 +1,8 @@
 """Registry: query key -> callable ``(spark, sf_dir) -> DataFrame``.
 
 Most keys are functions of a :class:`Shop` (the driver's tables seen through
-the adapter); the sink keys write a report and read it back, and the
-generator key draws shop data for the driver's customer ids.
+the adapter); the sink keys write a report and read it back, and those of
+``plans/stored.py`` store data in one of the layouts and read that.
 """
 
 from __future__ import annotations
@@ -16,11 +16,10 @@ from pyspark.sql import functions as F
 from tillroll.functions.dates import iso_datetime
 from tillroll.functions.numeric import to_double
 from tillroll.operators import facts, quality, shape
-from tillroll.plans import channel, clv, cohort, marketing, product, revenue, rfm
+from tillroll.plans import channel, clv, cohort, marketing, product, revenue, rfm, stored
 from tillroll.session import delete_on_exit, ensure_checkpoint_dir
 from tillroll.sources import schema as S
 from tillroll.sources import sinks
-from tillroll.sources.synth import synth_shop
 from tillroll.sources.tables import Shop, star_tables
 
 ShopReport = Callable[[Shop], DataFrame]
@@ -106,6 +105,11 @@ def constraint_violations(shop: Shop) -> DataFrame:
     return quality.constraint_violations(_tables(shop), ADAPTER_RULES)
 
 
+def row_violations(shop: Shop) -> DataFrame:
+    """The rows behind the counts of ``constraint_violations``."""
+    return stored.row_violations(shop, ADAPTER_RULES)
+
+
 def apply_defaults(shop: Shop) -> DataFrame:
     """Orders of the adapter (no discount column) with the declared default filled in."""
     o = quality.apply_defaults(shop.orders, "orders")
@@ -154,6 +158,15 @@ REPORTS: dict[str, ShopReport] = {
     "table_counts": table_counts,
     "constraint_violations": constraint_violations,
     "apply_defaults": apply_defaults,
+    "defaults_by_table": stored.defaults_by_table,
+    "row_violations": row_violations,
+    "order_grain_bucketed": stored.order_grain_bucketed,
+    "export_all": stored.export_all,
+    "unique_customers": stored.unique_customers,
+    "order_gaps": stored.order_gaps,
+    "month_replaced": stored.month_replaced,
+    "sql_customer_metrics": stored.sql_customer_metrics,
+    "sql_customer_metrics_latest": stored.sql_customer_metrics_latest,
 }
 
 
@@ -197,13 +210,12 @@ def _roundtrip(kind: str, report: ShopReport) -> Query:
     return run
 
 
-def synth_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Generated orders for the driver's customer ids (size follows the tables)."""
-    _prepare(spark)
-    ids = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
-    shop = synth_shop(spark, ids)
-    return shop.orders.select("order_id", "customer_id", "status", "channel",
-                              iso_datetime(F.col("ordered_at")).alias("ordered_at"))
+def _prepared(fn: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _prepare(spark)
+        return fn(spark, sf_dir)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
 
 
 # Keys whose callable needs more than a Shop.
@@ -213,7 +225,8 @@ EXTRA: dict[str, Query] = {
     "export_json": _roundtrip("json", kpi_summary),
     "import_json": _roundtrip("json", marketing.marketing_roi_export),
     "load_warehouse_table": _roundtrip("table", channel.channel_performance_export),
-    "synth_shop": synth_orders,
+    "checked_append": _prepared(stored.checked_append),
+    "csv_quarantine": _prepared(stored.csv_quarantine),
 }
 
 

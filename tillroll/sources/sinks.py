@@ -66,7 +66,7 @@ def import_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 RECORD = "_record"
 
 
-def read_records(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+def read_records(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
     """(good rows, malformed records) of CSV files of unknown quality; every record is in exactly one of the two.
 
     A record is malformed if it has more or fewer fields than the schema, if a value is not of its
@@ -74,7 +74,7 @@ def read_records(spark: SparkSession, path: str, schema: StructType) -> tuple[Da
     malformed records file, record (the text as it stands) and reason. Blank lines are no records.
     """
     nullable = StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
-    options = {**_csv_read(), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD,
+    options = {**_csv_read(), "header": header, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD,
                "enforceSchema": True}
     raw = spark.read.schema(StructType([*nullable.fields, StructField(RECORD, StringType(), True)])).options(**options).csv(path) \
         .withColumn("_file", F.input_file_name())
