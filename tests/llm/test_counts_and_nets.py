@@ -126,3 +126,70 @@ def test_quality_odd_rows(docs_of, spark):
     none = qualitynet.classify(docs_of(ODD), labels.limit(0)).collect()
     assert {(r.score, r.predicted) for r in none} == {(0.5, 1)}
     assert qualitynet.classify(docs_of(ODD).limit(0), labels).count() == 0
+
+
+def test_the_sample_is_bounded_whatever_rows_are_alike(spark):
+    """20,000 rows of one id, equal or not, many labels: never more than the bound."""
+    from tillroll.llm.textnet import learn_sample
+    one = spark.range(20_000).select(F.lit(1).alias("id"), F.lit("x").alias("label"), F.lit("same text").alias("body"))
+    other = spark.range(20_000).select(F.lit(1).alias("id"), F.lit("y").alias("label"), F.concat(F.lit("t"), F.col("id")).alias("body"))
+    few = spark.range(7).select(F.lit(2).alias("id"), F.lit("z").alias("label"), F.lit("b").alias("body"))
+    got = {r.label: r["count"] for r in learn_sample(one.unionByName(other).unionByName(few), 10, ["id", "body"])
+           .groupBy("label").count().collect()}
+    assert got == {"x": 10, "y": 10, "z": 7}
+    many = spark.range(3000).select("id", F.concat(F.lit("l"), F.col("id") % 1000).alias("label"), F.lit("b").alias("body"))
+    assert learn_sample(many, 100, ["id", "body"]).count() <= 16 * 100
+    assert learn_sample(many.limit(0), 10, ["id", "body"]).count() == 0
+
+
+def test_documents_of_one_labelled_id_are_bounded(spark, monkeypatch):
+    seen = []
+    real = qualitynet.sample_windows
+    monkeypatch.setattr(qualitynet, "sample_windows", lambda rows, *a, **k: seen.append(rows.count()) or real(rows, *a, **k))
+    docs = spark.range(20_000).select(F.lit(3).cast("bigint").alias("doc_id"), F.concat(F.lit("good text "), F.col("id")).alias("text")) \
+        .unionByName(spark.range(30).select((F.col("id") + 100).alias("doc_id"), F.lit("bad $$$ text").alias("text")))
+    labels = spark.range(30).select((F.col("id") + 100).alias("doc_id"), F.lit(0).alias("quality")) \
+        .unionByName(spark.createDataFrame([(3, 1)], "doc_id bigint, quality int"))
+    assert qualitynet.fit(docs, labels, F.lit(True), per_label=50) is not None
+    assert seen[0] <= 80
+
+
+@pytest.mark.parametrize("which", ["language", "quality"])
+def test_scores_are_a_plain_loop_over_all_windows(spark, which):
+    """The registered queries' path against float64 arithmetic, window by window and filter by filter."""
+    all_docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = all_docs.where("doc_id < 80").select("doc_id", "text").unionByName(
+        spark.createDataFrame([(-1, ""), (-2, None), (-3, "Ab")], "doc_id bigint, text string"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    if which == "language":
+        model = langid.fit(all_docs, langid.remainder("doc_id", 4) != 2)
+        net, size, step, lower = model.net, langid.SIZE, langid.STEP, True
+        got = {r.doc_id: r for r in langid.predict(docs, model, ["doc_id"]).collect()}
+    else:
+        net = qualitynet.fit(all_docs, spark.read.parquet(f"{SF}/labels.parquet"), langid.remainder("doc_id", 3) != 1)
+        size, step, lower = qualitynet.SIZE, qualitynet.STEP, False
+        got = {r.doc_id: r for r in qualitynet.score(docs, net, ["doc_id"]).collect()}
+    for k, t in texts.items():
+        raw = (t or "").encode()
+        raw = raw.lower() if lower else raw
+        windows = [raw[i:i + size] for i in range(0, max(1, len(raw) - size + step), step)] if raw else []
+        z = np.zeros(len(net.out_bias), np.float64)
+        for w in windows:
+            x = np.full(size, PAD, np.int64)
+            x[:len(w)] = np.frombuffer(w, np.uint8)
+            feats = []
+            for width, f in net.filters.items():                   # no tables of byte pairs, no batches
+                response = sum(f[j, x[j:size - width + 1 + j]].astype(np.float64) for j in range(width))
+                feats.append(np.maximum(response.max(axis=0) + net.bias[width], 0))
+            z += np.concatenate(feats) @ net.out.astype(np.float64) + net.out_bias
+        z = z / max(1, len(windows))
+        if which == "quality":
+            p = 1 / (1 + np.exp(z[0] - z[1]))
+            assert abs(got[k].score - p) < 1e-4, k
+        else:
+            e = np.exp(z - z.max())
+            p = e / e.sum()
+            if any(c.isalpha() for c in t or ""):
+                assert got[k].lang_pred == model.languages[int(p.argmax())] and abs(got[k].score - p.max()) < 1e-4, k
+            else:
+                assert got[k].lang_pred == "und"

@@ -32,12 +32,13 @@ def fit(docs: DataFrame, usable, key: str = "doc_id", text: str = "text", lang:
         per_language: int = 1500, per_text: int = 8) -> LanguageModel:
     """Learn from the rows where the condition ``usable`` holds and text and language are there.
 
-    The sample's bound: about ``per_language`` texts of each language and ``per_text`` windows
-    of each text, drawn by a hash of the key from all rows.
+    The sample's bound: at most ``per_language`` texts of each language, at most 16 * per_language in all, and
+    ``per_text`` windows of each text, drawn by a hash of key and text from all rows. Of more than
+    ``textnet.MOST_LABELS`` languages the most frequent are learned.
     """
     rows = docs.where(usable & F.col(lang).isNotNull() & (F.length(text) > 0)) \
         .select(F.col(key).alias("id"), F.col(lang).alias("label"), text_bytes(F.col(text)).alias("body"))
-    taken = learn_sample(rows, per_language)
+    taken = learn_sample(rows, per_language, ["id", "body"])
     x, y = sample_windows(taken, SIZE, STEP, per_text, lower=True)
     names = sorted(set(y))
     if not names:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import text_bytes
 from tillroll.llm.convnet import ByteConvNet
 from tillroll.llm.langid import remainder
-from tillroll.llm.textnet import apply_net, balanced, learn_sample, sample_windows
+from tillroll.llm.textnet import apply_net, at_most, balanced, learn_sample, sample_windows
 
 SIZE, STEP = 256, 224
 WIDTHS = {3: 8, 6: 16}
@@ -22,17 +22,18 @@ WIDTHS = {3: 8, 6: 16}
 
 def fit(docs: DataFrame, labels: DataFrame, usable, key: str = "doc_id", text: str = "text",
         label: str = "quality", per_label: int = 2000, per_text: int = 8) -> ByteConvNet | None:
-    """Learn from about ``per_label`` labelled documents of each label (the sample's bound), ``per_text`` chunks of each.
+    """Learn from at most ``per_label`` labelled documents of each label (the sample's bound), ``per_text`` chunks of each.
 
     Only labels 0 and 1 of non-null keys count; a key with several rows has the
-    smallest of its labels. None if a label is missing.
+    smallest of its labels. Documents are drawn by key and text, however many rows share a key. None if a label is missing.
     """
     marks = (labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & usable)
              .groupBy(F.col(key).alias("id")).agg(F.min(label).cast("int").alias("label")))
-    taken = learn_sample(marks, per_label)
+    taken = learn_sample(marks, per_label, ["id"])
     # bounded by 2 * per_label keys, so the documents are not shuffled for it
     rows = (docs.select(F.col(key).alias("id"), text_bytes(F.col(text)).alias("body"))
             .join(F.broadcast(taken), "id").select("id", "label", "body"))
+    rows = at_most(rows, per_label, F.xxhash64("id", "body"))      # one key may have any number of documents
     x, y = sample_windows(rows, SIZE, STEP, per_text, lower=False)
     y = np.array(y, np.int64)
     if len(set(y.tolist())) < 2:

@@ -8,22 +8,39 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tillroll.llm.common import fresh, map_arrow, text_bytes
 from tillroll.llm.convnet import ByteConvNet, cut
 
 
-def learn_sample(rows: DataFrame, per_label: int) -> DataFrame:
-    """About ``per_label`` rows (id, label) of each label: all rows whose hash falls under the label's share.
+MOST_LABELS = 256     # labels that are learned: the most frequent
 
-    Labels are few; their counts and nothing else reach the driver.
+
+def at_most(rows: DataFrame, per_label: int, u) -> DataFrame:
+    """The ``per_label`` rows of each label with the smallest ``u``; ties are cut too, so equal rows cannot exceed it.
+
+    Every task keeps its own first rows of a label before anything is shuffled.
+    """
+    order = W.partitionBy("label").orderBy("_u")
+    return rows.withColumn("_u", u).withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= per_label).drop("_u", "_at")
+
+
+def learn_sample(rows: DataFrame, per_label: int, by: list[str]) -> DataFrame:
+    """At most ``per_label`` rows of each of at most ``MOST_LABELS`` labels, drawn by a hash of the columns ``by``.
+
+    The bound is exact: rows alike in ``by``, which share a hash, count one by one. If there are
+    many labels each gets fewer rows, so that the sample has at most 16 * per_label in all. Of the table only the counts of these labels reach the driver.
     """
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    u = F.pmod(F.xxhash64(*[F.col(c) for c in by], F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # rows alike count once here, or one frequent row could leave its label without any
+    counted = (rows.groupBy("label").agg(F.approx_count_distinct(u).alias("n"), F.count("*").alias("rows"))
+               .orderBy(F.col("rows").desc(), "label").limit(MOST_LABELS).collect())
+    per_label = min(per_label, max(1, 16 * per_label // max(1, len(counted))))
     share = F.lit(0.0)
-    for label, n in counts.items():
-        share = F.when(F.col("label") == label, F.lit(min(1.0, per_label / n))).otherwise(share)
-    u = F.pmod(F.xxhash64(F.col("id"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.where(u < share)
+    for r in counted:   # more than needed passes, and the bound is applied to that
+        share = F.when(F.col("label") == r["label"], F.lit(min(1.0, (1.3 * per_label + 50) / r["n"]))).otherwise(share)
+    return at_most(rows.where(u < share), per_label, u)
 
 
 def sample_windows(rows: DataFrame, size: int, step: int, per_text: int, lower: bool) -> tuple[np.ndarray, list]:
