@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
 
@@ -60,3 +61,61 @@ def test_one_trigram_of_a_short_item_is_no_copy(spark, docs_of):
             (2, "so name the capital of Peru now"), (3, "count one two three four"), (4, "count one two and three")]
     found = {r.doc_id: r.item_id for r in decontaminate.contaminated(docs_of(rows), bench).collect()}
     assert found == {1: 1, 2: 2, 3: 3}
+
+
+def test_items_that_open_alike_are_not_aligned_with_every_document(spark, docs_of, monkeypatch):
+    """200 items x 400 documents share an opening: all pairs share seeds, hardly one is aligned."""
+    opening = "which of the following statements about the given text is true"
+    bench = spark.createDataFrame([(i, f"{opening} {words(1000 + i, 25)}") for i in range(200)], "item_id bigint, text string")
+    rows = [(i, f"{words(5000 + i, 30)} {opening} {words(9000 + i, 30)}") for i in range(400)]
+    rows += [(1000, f"pre {opening} {words(1007, 25)}")]
+    made = spark.sparkContext.accumulator(0)
+    real = decontaminate.align
+    monkeypatch.setattr(decontaminate, "align", lambda p, i: (made.add(1), real(p, i))[1])
+    found = decontaminate.contaminated(docs_of(rows), bench).collect()
+    assert [(r.doc_id, r.item_id) for r in found] == [(1000, 7)]
+    assert 0 < made.value < 200 * 401 / 100
+
+
+def test_links_are_those_of_aligning_every_pair(spark, docs_of):
+    rng = random.Random(8)
+    items = [(i, words(50 + i, rng.randint(3, 40))) for i in range(25)] + [(25, ""), (26, "two words"), (27, words(51, 12))]
+    rows = []
+    for i in range(120):
+        t = words(3000 + i, rng.randint(0, 25)).split()
+        if i % 2:
+            w = items[rng.randrange(25)][1].split()
+            for _ in range(rng.randint(0, len(w) // 3)):                      # edits: drop, change or add a word
+                j, kind = rng.randrange(len(w)), rng.random()
+                w[j:j + 1] = [] if kind < 0.3 else ["changed"] if kind < 0.7 else [w[j], "added"]
+                if not w:
+                    break
+            at = rng.randint(0, len(t))
+            t[at:at] = w
+        rows.append((i if i % 7 else None, " ".join(t)))
+    rows += rows[:9]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    D = decontaminate
+    want, intact = set(), set()
+    for k, t in rows:
+        p = D.words_of(t)
+        for item, text in items:
+            own = D.words_of(text)
+            best = D.align(p, own) if p and len(own) >= 3 else 0
+            if len(own) >= 3 and best >= D.MATCH * min(D.LEAST, len(own)) and best / (D.MATCH * min(D.FULL, len(own))) >= 0.5:
+                want.add((k, t, item))
+            span = min(3 + D.SPREAD - 1, len(own))
+            if len(own) >= 3 and any(own[i:i + span] == p[j:j + span] for i in range(len(own) - span + 1) for j in range(len(p))):
+                intact.add((k, t, item))
+    from tillroll.llm.common import row_key
+    docs = docs_of(rows)
+    names = docs.select("doc_id", "text", *row_key("doc_id", "text")).dropDuplicates(["k", "th"])
+    got = {(r.doc_id, r.text, r.item_id) for r in D.links(docs, bench).join(names, ["k", "th"]).collect()}
+    assert got <= want and want & intact <= got and len(got) > 30
+
+
+def test_the_bound_is_never_under_the_score():
+    rng = random.Random(2)
+    for _ in range(300):
+        p, i = ([rng.choice("abcdef") for _ in range(rng.randint(1, 30))] for _ in range(2))
+        assert decontaminate.align(p, i) <= decontaminate.MATCH * decontaminate.most_matches(Counter(p), Counter(i))

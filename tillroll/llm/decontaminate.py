@@ -4,8 +4,8 @@ Words are runs of letters, digits and ``_``, lower-cased. *Seeds* are word n-gra
 items: of every ``SPREAD`` consecutive n-grams of an item the one that the fewest training
 documents hold (counted over the whole corpus), so any intact stretch of
 ``gram + SPREAD - 1`` words of an item holds a seed. Training passages around seed hits are joined
-to the items by seed, and each (passage, item) pair with enough seeds is aligned by
-Smith-Waterman over words, which scores edited and paraphrased copies by what they keep.
+to the items by seed, and each (passage, item) pair with enough seeds, and with enough words in common for a
+score that counts, is aligned by Smith-Waterman over words, which scores edited and paraphrased copies by what they keep.
 
 The test set goes against all documents in blocks of at most ``BLOCK`` different n-grams, whose
 hashes (8 MB) are broadcast; a larger test set makes more blocks. Blocks are cut by the n-grams themselves,
@@ -15,6 +15,7 @@ so neither a long item nor an ``item_id`` of many texts makes a block larger.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
@@ -81,6 +82,12 @@ def align(passage: list[str], item: list[str]) -> int:
     return best
 
 
+def most_matches(passage: "Counter[str]", item: "Counter[str]") -> int:
+    """Words that an alignment can match at most: those in common, each as often as both have it."""
+    few, many = (item, passage) if len(item) < len(passage) else (passage, item)
+    return sum(min(n, many[w]) for w, n in few.items() if w in many)
+
+
 def _item_grams(items: DataFrame, n: int) -> DataFrame:
     """(ik, pos, size, gram): each item's n-grams in order, and how many it has."""
     def run(batch: pa.RecordBatch) -> dict:
@@ -177,13 +184,27 @@ def _passages(docs: DataFrame, grams: DataFrame, n: int, scratch: Scratch) -> Da
     return map_arrow(src.join(places, ["k", "th"]).select("k", "th", "text", "places"), _PASSAGES, cut)
 
 
-def _score(pairs: DataFrame) -> DataFrame:
+def _score(pairs: DataFrame, threshold: float) -> DataFrame:
+    """The pairs' scores. A pair whose words in common cannot reach the threshold is not aligned and scores 0."""
     def run(batch: pa.RecordBatch) -> dict:
-        score = []
+        score, known = [], {}
+
+        def counted(text: str, words: list[str]) -> Counter:
+            if text not in known:
+                if len(known) > 512:
+                    known.clear()
+                known[text] = Counter(words)
+            return known[text]
+
         for passage, item in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist()):
-            own = words_of(item)
-            best = align(passage.split(" "), own)
-            score.append(best / (MATCH * min(FULL, len(own))) if best >= MATCH * min(LEAST, len(own)) else 0.0)
+            own, around = words_of(item), passage.split(" ")
+            least = MATCH * min(LEAST, len(own))
+            full = MATCH * min(FULL, len(own))
+            if MATCH * most_matches(counted(passage, around), counted(item, own)) < max(least, threshold * full):
+                score.append(0.0)
+                continue
+            best = align(around, own)
+            score.append(best / full if best >= least else 0.0)
         return {c: batch.column(i) for i, c in enumerate(("k", "th", "ik", "item_id", "n_seeds"))} | {"score": score}
     kind = pairs.schema["item_id"].dataType.simpleString()
     return map_arrow(pairs.select("k", "th", "ik", "item_id", "n_seeds", "passage", "item"),
@@ -232,7 +253,7 @@ def links(docs: DataFrame, items: DataFrame, gram: int = 3, min_seeds: int = 1,
             .where(F.col("n_seeds") >= F.least("of", F.lit(min_seeds))))
     pairs = (hits.join(passages.drop("seeds"), ["k", "th", "at"])
              .join(items.withColumnRenamed("text", "item"), "ik"))
-    found = _score(pairs).where(F.col("score") >= threshold)
+    found = _score(pairs, threshold).where((F.col("score") >= threshold) & (F.col("score") > 0))
     return scratch.save(found.groupBy("k", "th", "ik").agg(
         F.first("item_id").alias("item_id"), F.max(F.struct("score", "n_seeds")).alias("b"))
         .select("k", "th", "ik", "item_id", "b.n_seeds", "b.score"))
