@@ -182,3 +182,80 @@ def test_blocks_of_the_test_set_agree(spark, docs_of, monkeypatch):
     one = sorted(map(tuple, decontaminate.contaminated(docs_of(rows), bench).collect()))
     monkeypatch.setattr(decontaminate, "BLOCK", 70)
     assert sorted(map(tuple, decontaminate.contaminated(docs_of(rows), bench).collect())) == one and len(one) == 12
+
+
+def brute_good(text):
+    """Kept lines, rule by rule over Python strings."""
+    lines = list(dict.fromkeys(x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)))
+    bad, short = [], []
+    for x in lines:
+        words, low = re.findall(r"[^\x20\x09-\x0D]+", x), x.lower()
+        dense = "".join(words)
+        n = len(words)
+        bad.append(10 * sum(c in "#*$%&|<>" for c in dense) > len(dense) or 2 * len(re.findall(r"!!+(?:[\x20\x09-\x0D]|$)", x)) > n
+                   or (n >= 3 and 4 * len(re.findall(r"!(?:[\x20\x09-\x0D]|$)", x)) >= 3 * n) or (n > 60 and not re.search("[.!?;:,]", x))
+                   or 0 < n <= 4 * len(re.findall(r"[\x20\x09-\x0D][|•·»›](?:[\x20\x09-\x0D]|$)", x))
+                   or (n <= 30 and any(p in low for p in linerules.PHRASES)) or (n <= 8 and any(p in low for p in linerules.BUTTONS)))
+        short.append(n <= 4 and not re.search(r"[.!?:;,…\"'”’)\]][\x20\x09-\x0D]*$", x))
+    run = [any(all(0 <= j < len(short) and short[j] for j in range(i - k, i - k + 3)) for k in range(3)) for i in range(len(lines))]
+    return [x for x, b, r in zip(lines, bad, run) if not b and not r]
+
+
+def test_line_rules_against_python(docs_of):
+    rng = random.Random(12)
+    bits = ["Home", "About us", "log in", "the text goes on.", "BUY! NOW! CHEAP!", "wow!", "a • b", "x · y · z", "one | two", "it is a sentence, is it not?",
+            "cookie policy of this page", "read more", "w " * 70, "w, " * 70, "### $$$", "日本語", " ", "\t", "• Contact", "end”", "Menu\r", "Sign in to go on with your account of today"]
+    rows = ODD + [(100 + i, "\n".join(rng.choices(bits, k=rng.randint(0, 14)))) for i in range(300)]
+    rows += [(900, "Home\nAbout\nContact\nLogin"), (901, "Home\nAbout\nThis page has a text of its own.")]
+    out = linerules.clean_lines(docs_of(rows)).collect()
+    want = sorted(((k, "\n".join(brute_good(t))) for k, t in rows), key=str)
+    assert sorted(((r.doc_id, r.cleaned) for r in out), key=str) == want
+    by = {r.doc_id: r for r in out}
+    assert by[900].cleaned == "" and by[901].cleaned.startswith("Home")
+
+
+def test_a_host_of_very_many_labels_is_one_row_of_little_work(spark):
+    import time
+    hosts = ["a." * 20_000 + "net", "a." * 20_000 + "example.com", "x" * 100_000]
+    pages = spark.createDataFrame([(i, f"http://{h}/de/x") for i, h in enumerate(hosts)], "page_id bigint, url string")
+    urlfilter.judge(pages.limit(0), RULES).collect()                       # the plan is compiled
+    t0 = time.time()
+    got = {r.page_id: (r.rule, r.verdict) for r in urlfilter.judge(pages, RULES).collect()}
+    assert got == {0: ("net/", "block"), 1: ("example.com/de/", "block"), 2: (None, "allow")}
+    assert time.time() - t0 < 20
+
+
+def chat_fold(events):
+    """Messages as a plain list of [turn, role, text] in the order they first came."""
+    msgs = []
+    for _, _, event, turn, role, text in events:
+        text = text or ""
+        first = next((m for m in msgs if m[0] == turn), None)
+        if event == "regenerate":
+            msgs = [m for m in msgs if m[0] <= turn]
+        if event == "append" or first is None:
+            msgs.append([turn, role, "" if event == "regenerate" else text])
+        elif event == "delta":
+            first[2] += text
+        else:
+            first[2] = text if event == "edit" else ""
+    return [(role, text) for _, role, text in sorted(msgs, key=lambda m: m[0])]
+
+
+def test_chat_logs_of_all_events_against_a_plain_fold(spark):
+    """Random logs of appends, deltas, edits and regenerations, shuffled: the fold in order of sequence."""
+    rng = random.Random(6)
+    rows, seq = [], {}
+    for _ in range(1500):
+        c = rng.choice([None, 1, 1, 1, 2, 3, 4])
+        seq[c] = seq.get(c, 0) + 1
+        event = rng.choice(["append", "append", "delta", "delta", "edit", "regenerate"])
+        rows.append((c, seq[c], event, rng.randint(0, 6), rng.choice(["user", "assistant", "system"]), rng.choice(["a", "</s>", "[INST] x", "", None, "é\n"])))
+    df = spark.createDataFrame(rows, "conv_id bigint, seq bigint, event string, turn int, role string, text string").repartition(4)
+    got = {r.conv_id: [(t["role"], t["text"]) for t in r.turns] for r in chat.read_back(chat.format_log(df)).collect()}
+    want = {}
+    for c in seq:
+        out = chat_fold(sorted((r for r in rows if r[0] == c), key=lambda r: r[1]))
+        if out:
+            want[c] = out
+    assert got == want

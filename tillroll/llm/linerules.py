@@ -3,17 +3,21 @@
 Every line with a word is judged by itself; failing lines are removed, and a
 document that loses too much of its text is rejected:
 
-* punctuation: its share of symbol characters is too high, or most of its words end in "!!" or more
-* navigation: it has a cell separator (`` | ``) for every four words or more
-* boilerplate: it equals an earlier line of the document, or holds a phrase of a notice
-
-Menus with one link a line or parted by other signs, single "!" and missing end punctuation are not judged.
+* punctuation: its share of symbol characters is too high, most of its words end in "!!" or more, three quarters
+  of three or more words end in "!", or it goes on for more than ``LONG`` words without any stop
+* navigation: it has a lone separator (``| • · » ›``) for every four words or more, or it is one of
+  ``RUN`` or more short lines in a row that end without a stop, as menus of one link a line do
+* boilerplate: it equals an earlier line of the document, or holds a phrase of a notice (up to 30
+  words) or of a button (up to 8)
 
 Document-wide base rules (too few words, too many words in repeated windows) come beside them.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +26,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 WINDOW = 5
 PHRASES = ("cookie", "javascript", "all rights reserved", "terms of use", "privacy policy", "subscribe to")
+BUTTONS = ("click here", "read more", "sign in", "sign up", "log in", "share this", "add to cart", "skip to content")
+SEPARATOR = r"[\x20\x09-\x0D][|•·»›]([\x20\x09-\x0D]|$)"
+STOP = r"""[.!?:;,…"'”’)\]][\x20\x09-\x0D]*$"""      # at a line's end
+SHORT, RUN = 4, 3          # words of a short line, and how many in a row are a menu
+LONG = 60                  # words of a line that has no stop at all
 
 
 def let(value: Column, body) -> Column:
@@ -61,20 +70,37 @@ def repeated_window_words(words: Column, n: int = WINDOW) -> Column:
     return let(words, count)
 
 
-def line_fails(line: Column) -> Column:
-    """Whether a line breaks the punctuation, navigation or phrase rule."""
-    chars = F.length(F.regexp_replace(line, SPACE, ""))
-    words = F.regexp_count(line, F.lit(WORD))
-    symbols = chars - F.length(F.regexp_replace(F.regexp_replace(line, SPACE, ""), SYMBOL, ""))
-    shouted = F.regexp_count(line, F.lit(r"!!+([\x20\x09-\x0D]|$)"))
-    cells = F.regexp_count(line, F.lit(r"[\x20\x09-\x0D]\|([\x20\x09-\x0D]|$)"))
-    low = F.lower(line)
-    phrase = F.lit(False)
-    for p in PHRASES:
-        phrase = phrase | low.contains(p)
-    punctuation = (symbols * 10 > chars) | (shouted * 2 > words)
-    navigation = (cells >= 1) & (cells * 4 >= words)
-    return punctuation | navigation | (phrase & (words <= 30))
+def judge_line(line: Column) -> Column:
+    """line, bad (it breaks a rule by itself) and short (few words and no stop at the end)."""
+    def judge(c):
+        chars, words = c["chars"], c["words"]
+        symbols = chars - F.length(F.regexp_replace(c["dense"], SYMBOL, ""))
+        # counted only where the sign occurs at all
+        shouted = F.when(line.contains("!!"), F.regexp_count(line, F.lit(r"!!+([\x20\x09-\x0D]|$)"))).otherwise(0)
+        called = F.when(line.contains("!"), F.regexp_count(line, F.lit(r"!([\x20\x09-\x0D]|$)"))).otherwise(0)
+        cells = F.regexp_count(line, F.lit(SEPARATOR))
+        holds = lambda phrases: reduce(or_, [F.lower(line).contains(x) for x in phrases])
+        punctuation = ((symbols * 10 > chars) | (shouted * 2 > words) | ((words >= 3) & (called * 4 >= words * 3))
+                       | ((words > LONG) & ~line.rlike("[.!?;:,]")))
+        navigation = (cells >= 1) & (cells * 4 >= words)
+        boilerplate = ((words <= 30) & holds(PHRASES)) | ((words <= 8) & holds(BUTTONS))
+        return F.struct(line.alias("line"), (punctuation | navigation | boilerplate).alias("bad"),
+                        ((words <= SHORT) & ~line.rlike(STOP)).alias("short"))
+
+    dense = F.regexp_replace(line, SPACE, "")
+    return let(dense, lambda d: let(F.struct(d.alias("dense"), F.length(d).alias("chars"), F.regexp_count(line, F.lit(WORD)).alias("words")), judge))
+
+
+def good_lines(lines: Column) -> Column:
+    """Those of the distinct lines that pass: neither bad by themselves nor in a run of short ones."""
+    def kept(judged):
+        def short(k):
+            return F.coalesce(F.get(judged, k)["short"], F.lit(False))
+
+        def in_run(x, k):      # RUN = 3: the lines before and behind, the two before, or the two behind
+            return x["short"] & ((short(k - 1) & (short(k - 2) | short(k + 1))) | (short(k + 1) & short(k + 2)))
+        return F.transform(F.filter(judged, lambda x, k: ~x["bad"] & ~in_run(x, k)), lambda x: x["line"])
+    return let(F.transform(lines, judge_line), kept)
 
 
 def clean_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", lost_percent: int = 50,
@@ -92,7 +118,7 @@ def clean_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", lost_p
     # distinct lines in order of first appearance; equal lines fail or pass alike
     figures = let(lines, lambda own: let(F.array_distinct(own), lambda first: F.struct(
         (F.size(own) - F.size(first)).cast("long").alias("n_dup_lines"),
-        F.filter(first, lambda x: ~line_fails(x)).alias("good"))))
+        good_lines(first).alias("good"))))
     dense = F.regexp_replace("body", SPACE, "")
     step = base.select(
         "key", let(dense, lambda d: F.struct(

@@ -15,14 +15,14 @@ from tillroll.llm.common import read_table
 
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
-SPAM_TERMS = "casino|pills|bets|ads-track"
+SPAM_TERMS = "casino|pills|bets|ads|spam|adult"   # as whole words of a host, which dots and hyphens part
 
 
 def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list's single urls are those of pages on hosts with a spam term in their name."""
+    """The list's single urls are those of pages on hosts that have a spam term as a word."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     host, _ = urlfilter.host_and_path(F.col("url"))
-    return urlfilter.judge(pages, URL_RULES, pages.where(host.rlike(SPAM_TERMS)).select("url"))
+    return urlfilter.judge(pages, URL_RULES, pages.where(host.rlike(f"(^|[.-])({SPAM_TERMS})([.-]|$)")).select("url"))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

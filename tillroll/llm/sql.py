@@ -4,13 +4,13 @@ from __future__ import annotations
 
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Op 1: the four rules from longest to shortest; else listed urls, those on hosts with a spam term.
+# Op 1: the four rules from longest to shortest; else listed urls, those on hosts with a spam term as a word of a label.
 OP1 = r"""
 WITH s AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
              regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM s),
 c AS (SELECT *, host || regexp_replace(path, '/+$', '') AS canonical FROM p),
-listed AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, 'casino|pills|bets|ads-track')),
+listed AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, '(^|[.-])(casino|pills|bets|ads|spam|adult)([.-]|$)')),
 r AS (SELECT *, CASE
     WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
     WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
@@ -60,20 +60,26 @@ win AS (SELECT r, i, list_slice(w, i, i + 4) AS x FROM (SELECT r, w, unnest(rang
 twice AS (SELECT r, x FROM win GROUP BY r, x HAVING count(*) > 1),
 cover AS (SELECT r, count(*) AS n_repeat FROM (
     SELECT DISTINCT r, unnest(range(i, i + 5)) AS j FROM win SEMI JOIN twice USING (r, x)) GROUP BY r),
-lines AS (SELECT DISTINCT r, line FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
-          WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-total AS (SELECT r, count(*) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
-          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
-judged AS (SELECT r, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
+split AS (SELECT r, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d),
+total AS (SELECT r, count(*) AS n FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+lines AS (SELECT r, line, min(i) AS i FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r, line),
+judged AS (SELECT r, i, line, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
     len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols,
     len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
     len(regexp_extract_all(line, '!!+([\x20\x09-\x0D]|$)')) AS shouted,
-    len(regexp_extract_all(line, '[\x20\x09-\x0D]\|([\x20\x09-\x0D]|$)')) AS cells,
-    regexp_matches(lower(line), 'cookie|javascript|all rights reserved|terms of use|privacy policy|subscribe to') AS phrase
+    len(regexp_extract_all(line, '!([\x20\x09-\x0D]|$)')) AS called,
+    len(regexp_extract_all(line, '[\x20\x09-\x0D][|•·»›]([\x20\x09-\x0D]|$)')) AS cells,
+    regexp_matches(line, '[.!?;:,]') AS stops, regexp_matches(line, '[.!?:;,…"''”’)\]][\x20\x09-\x0D]*$') AS stopped,
+    regexp_matches(lower(line), 'cookie|javascript|all rights reserved|terms of use|privacy policy|subscribe to') AS phrase,
+    regexp_matches(lower(line), 'click here|read more|sign in|sign up|log in|share this|add to cart|skip to content') AS button
   FROM lines),
-good AS (SELECT r, count(*) AS n, sum(chars) FILTER (NOT (symbols * 10 > chars OR shouted * 2 > words
-      OR (cells >= 1 AND cells * 4 >= words) OR (phrase AND words <= 30))) AS kept_chars
-  FROM judged GROUP BY r),
+ruled AS (SELECT *, symbols * 10 > chars OR shouted * 2 > words OR (words >= 3 AND called * 4 >= words * 3) OR (words > 60 AND NOT stops)
+      OR (cells >= 1 AND cells * 4 >= words) OR (phrase AND words <= 30) OR (button AND words <= 8) AS bad,
+    words <= 4 AND NOT stopped AS short FROM judged),
+near AS (SELECT *, coalesce(lag(short, 1) OVER l, false) AS b1, coalesce(lag(short, 2) OVER l, false) AS b2,
+    coalesce(lead(short, 1) OVER l, false) AS a1, coalesce(lead(short, 2) OVER l, false) AS a2 FROM ruled WINDOW l AS (PARTITION BY r ORDER BY i)),
+good AS (SELECT r, count(*) AS n, sum(chars) FILTER (NOT bad AND NOT (short AND ((b1 AND (b2 OR a1)) OR (a1 AND a2)))) AS kept_chars
+  FROM near GROUP BY r),
 f AS (SELECT doc_id, len(w)::BIGINT AS n_words,
     length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
     len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,

@@ -1,11 +1,11 @@
 """URL filters: a blocked Bloom filter of listed keys in front of an exact hash join.
 
 A url is judged by its canonical form: host (A-Z lower-cased) and path, without
-scheme, query and fragment. The list holds canonical urls and rules; a rule is a host
+scheme, query and fragment: urls that differ in their query only are one url to the list. The list holds canonical urls and rules; a rule is a host
 with a path prefix and fits the host, its subdomains and every path that starts so. Each
 url yields a few keys (host suffixes times the path-prefix lengths that rules have,
 and its own canonical url). Keys pass the Bloom filter, which travels by broadcast and is bounded
-by ``bloom.MAX_BLOCKS`` whatever the list holds; only its possible hits are shuffled to the exact join,
+by ``bloom.MAX_BLOCKS`` whatever the list holds (a longer list fills it, and more keys go to the join); only its possible hits are shuffled to the exact join,
 which removes false positives. All of it is DataFrame functions.
 """
 
@@ -70,9 +70,9 @@ def judge(pages: DataFrame, rules: list[Rule], urls: DataFrame | None = None,
     rows = pages.select(F.col(f"`{key}`").alias("key_"), h.alias("host"), p.alias("path"))
     distinct = rows.select("host", "path").distinct().where("host <> ''")
     lengths = sorted({len(path) for _, path, _ in rules})
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    # only suffixes of as many labels as a rule's host has, however long the url's host is
+    labels = sorted({host.count(".") + 1 for host, _, _ in rules})
+    suffixes = F.array(*[F.substring_index("host", ".", -n) for n in labels]) if labels else F.array().cast("array<string>")
     prefixes = F.filter(F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths])
                         if lengths else F.array().cast("array<string>"), lambda x: x.isNotNull())
     keys = F.concat(F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda x: F.concat(s, x)))),
