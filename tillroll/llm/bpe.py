@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.bloom import bloom, blocks_for, split
-from tillroll.llm.common import Scratch, WindowHash, map_arrow, mix64, row_key, text_bytes
+from tillroll.llm.common import SLICE, Scratch, WindowHash, map_arrow, mix64, row_key, text_bytes
 
 ROLL = 16             # bytes the rolling hash sees
 ONE_IN = 128          # of the white-space places, one in so many is a cut
@@ -34,6 +34,7 @@ SHORTEST, LONGEST = 128, 8192
 _HASH = WindowHash(0x2545F4914F6CDD1D)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_TAIL = b"!\"#$%&()*+,-./:;=?@[]^_`{}~"      # ASCII punctuation but the apostrophe and what special tokens are made of
 
 
 def cuts(data: bytes) -> list[int]:
@@ -75,9 +76,10 @@ def pieces(data: bytes, at: list[int]) -> tuple[np.ndarray, np.ndarray]:
 class Encoder:
     """One for each Python worker and tokenizer file; words' ids are kept in a bounded cache."""
 
-    CACHE = 150_000
+    CACHE = 300_000       # words whose ids are kept from one group of texts to the next, about
     CACHED_LENGTH = 64
     JOINED = 256          # new words the library gets as one text, a special token between them
+    TOGETHER = 4 << 20    # bytes of text whose words are looked up together
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -87,8 +89,12 @@ class Encoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.kind = np.dtype("<u2" if self.tok.get_vocab_size(with_added_tokens=True) <= 65536 else "<u4")
+        if hasattr(self.tok.model, "_resize_cache"):
+            self.tok.model._resize_cache(0)              # it is asked for words that are not in the cache here
         self.cache: dict[bytes, bytes] = {}
+        self.passing: list[bytes] = []     # long words, kept until the next group only
         self.vocabulary = None
+        self.divides = self._divides()
         plain = [(i, t.content) for i, t in self.tok.get_added_tokens_decoder().items()
                  if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
         self.between = (plain[-1][0], plain[-1][1].encode()) if plain else None
@@ -120,18 +126,43 @@ class Encoder:
         rest_ids = iter(got)
         return [single[i] if i in single else next(rest_ids) for i in range(len(words))]
 
-    def learn(self, words: set[bytes]) -> "dict[bytes, bytes] | _Both":
-        """A mapping that holds the ids of all ``words``."""
-        if len(self.cache) > self.CACHE:   # the words seen first are the frequent ones: they stay
-            self.cache = dict(islice(self.cache.items(), self.CACHE // 2))
-        new = list(words - self.cache.keys())
-        own = dict(zip(new, self.words(new)))
-        if len(self.cache) + len(own) <= self.CACHE + self.CACHE // 4 and max(map(len, own), default=0) <= self.CACHED_LENGTH:
-            self.cache.update(own)
-            return self.cache
-        short = {w: i for w, i in own.items() if len(w) <= self.CACHED_LENGTH}
-        self.cache.update(islice(short.items(), max(0, self.CACHE + 1 - len(self.cache))))
-        return _Both(own, self.cache)
+    def _divides(self) -> bool:
+        """Whether the tokenizer sees a letter and ASCII punctuation behind it as different pre-tokens and no ASCII case."""
+        return all(self.direct([w]) == [b"".join(self.direct([s, t]))] for w, s, t in (
+            (b"AbCd.", b"abcd", b"."), (b"x9Zq,!?", b"x9zq", b",!?"), (b"don\'T$$", b"don\'t", b"$$"), (b"q%%%", b"q", b"%%%")))
+
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of all ``words``.
+
+        Punctuation at a word's end is a pre-token of its own and ASCII letters count in one case,
+        so words meet in the cache by what is left without them.
+        """
+        cache = self.cache
+        for w in self.passing:
+            del cache[w]
+        if len(cache) > self.CACHE:        # the words seen first are the frequent ones: they stay
+            cache = self.cache = dict(islice(cache.items(), self.CACHE // 2))
+        parted = []
+        for w in words:
+            if w in cache:
+                continue
+            stem = w
+            if self.divides and b"<" not in w:
+                cut = w.rstrip(_TAIL)
+                if cut and cut[-1:].isalnum():
+                    stem = cut
+                if w.isascii():
+                    stem = stem.lower()
+            parted.append((w, stem, w[len(stem):]))
+        new = {p for x in parted for p in x[1:] if p and p not in cache}
+        cache.update(zip(new, self.words(list(new))))
+        self.passing = [w for w in new if len(w) > self.CACHED_LENGTH or len(cache[w]) > self.CACHED_LENGTH]
+        for w, stem, tail in parted:
+            if w not in new:
+                cache[w] = cache[stem] + cache[tail] if tail else cache[stem]
+                if len(w) > self.CACHED_LENGTH or len(cache[w]) > self.CACHED_LENGTH:
+                    self.passing.append(w)
+        return cache
 
     def assemble(self, bodies: list[bytes], known: list[dict[int, bytes]]) -> list[bytes]:
         """Ids of whole texts; ``known``: for each text, ids of chunks encoded elsewhere, by chunk number."""
@@ -140,7 +171,7 @@ class Encoder:
         for i, body in enumerate(bodies):
             group.append((body, known[i]))
             held += len(body)
-            if held > 1 << 20:
+            if held > self.TOGETHER:
                 out += self._assemble(group)
                 group, held = [], 0
         return out + self._assemble(group)
@@ -256,19 +287,6 @@ class Encoder:
         return " ".join([self.vocabulary[i] for i in ids])     # what the library does without a decoder
 
 
-class _Both:
-    """Two mappings, looked up one after the other."""
-
-    def __init__(self, first: dict, second: dict):
-        self.first, self.second = first, second
-
-    def __getitem__(self, k):
-        return self.first[k] if k in self.first else self.second[k]
-
-    def __contains__(self, k):
-        return k in self.first or k in self.second
-
-
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -329,13 +347,14 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
 
     # A document's text is shuffled only if it shares a chunk, and once more if it owns one: Bloom
     # filters of bounded size keep most others out, and whom they let through in vain the joins handle.
-    row = F.concat_ws("|", "k", F.hex("th"))
+    row = F.concat(F.col("k").cast("binary"), F.col("th"))
     body = src.select("key", "k", "th", "body")
     shares, alone = _split(body, uses.select(row.alias("key")).distinct(), row)
-    owning, _ = _split(body, shared.select(F.concat_ws("|", "one.k", F.hex("one.th")).alias("key")).distinct(), row)
+    owning, _ = _split(body, shared.select(F.concat(F.col("one.k").cast("binary"), F.col("one.th")).alias("key")).distinct(), row)
     owned = (shared.select("one.k", "one.th", F.struct("one.pos", "h1", "h2").alias("x"))
              .groupBy("k", "th").agg(F.collect_list("x").alias("own")))
-    owners = _packed(owning).join(owned, ["k", "th"]).select("body", "own")
+    # of equal rows one is the owner
+    owners = _packed(owning).select("k", "th", "body").dropDuplicates(["k", "th"]).join(owned, ["k", "th"]).select("body", "own")
 
     def own_chunks(batch: pa.RecordBatch) -> dict:
         e, z = encoder(tokenizer), zstandard.ZstdDecompressor()
@@ -375,8 +394,8 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
         return out
 
     out = f"key {kind}, ids array<int>" + ", decoded string" * decoded
-    return map_arrow(joined, out, whole).unionByName(
-        map_arrow(alone.select("key", "body"), out, by_itself)).withColumnRenamed("key", key)
+    return map_arrow(joined, out, whole, sized=1, size=SLICE // 3).unionByName(     # packed texts, about a third
+        map_arrow(alone.select("key", "body"), out, by_itself, sized=1)).withColumnRenamed("key", key)
 
 
 def decode(rows: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

@@ -80,11 +80,32 @@ class Scratch:
             fs.delete(path, True)
 
 
-ROWS = 256   # of an Arrow batch, as many as are worked on and sent back at once
+ROWS = 256           # of an Arrow batch, as many as are worked on and sent back at once
+SLICE = 4 << 20      # bytes of texts that are worked on together where a column's size decides
 
 
-def map_arrow(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], rows: int = ROWS) -> DataFrame:
-    """One dict of columns (arrays or lists) out for each slice of an Arrow batch, so that long texts do not pile up."""
+def _slices(batch: pa.RecordBatch, rows: int, sized: int | None, size: int) -> Iterator[pa.RecordBatch]:
+    if sized is None:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        return
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(sized)), 0).to_numpy().astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        n = max(1, int(np.searchsorted(ends, before + size, "right")) - at)
+        yield batch.slice(at, n)
+        at += n
+
+
+def map_arrow(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], rows: int = ROWS,
+              sized: int | None = None, size: int = SLICE) -> DataFrame:
+    """One dict of columns (arrays or lists) out for each slice of an Arrow batch, so that long texts do not pile up.
+
+    A slice has ``rows`` rows, or with ``sized`` (a column's number) as many as hold ``size`` bytes there, one at least.
+    """
     from pyspark.sql.types import _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -92,10 +113,10 @@ def map_arrow(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                if at:
+            for i, part in enumerate(_slices(batch, rows, sized, size)):
+                if i:
                     pa.default_memory_pool().release_unused()
-                cols = fn(batch.slice(at, rows))
+                cols = fn(part)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[f.name], type=f.type, from_pandas=False)
                      if not isinstance(cols[f.name], (pa.Array, pa.ChunkedArray)) else cols[f.name].cast(f.type)
