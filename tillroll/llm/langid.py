@@ -85,3 +85,23 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     model = fit(docs, fold != held_out, key, text, lang)
     out = predict(docs, model, keep or [key], text)
     return out.select("*", (remainder(key, folds) == held_out).alias("held_out"))
+
+
+def recognised(docs: DataFrame, odds: float = 1.3, key: str = "doc_id", text: str = "text", lang: str = "lang",
+               folds: int = 4, held_out: int = 2) -> DataFrame:
+    """The rows of ``docs`` whose language is recognised, with all their columns.
+
+    A text goes if it has no letter, or if the predicted language is not ``odds`` times as likely as the other
+    languages are on average, ``score * (n - 1) < odds * (1 - score)``: a measure that means the same however
+    many languages were learned. With one language any text with a letter stays, and so it does if nothing was labelled,
+    since there is nothing to judge by.
+    """
+    model = fit(docs, remainder(key, folds) != held_out, key, text, lang)
+    if model.net is None:
+        return docs.where(F.col(f"`{text}`").rlike(r"\p{L}"))
+    rest = [c for c in docs.columns if c != text]
+    rows = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
+    out = predict(rows, model, ["text", "row"], "text")
+    clear = F.col("score") * (len(model.languages) - 1) >= odds * (1 - F.col("score"))
+    return out.where((F.col("lang_pred") != UNKNOWN) & clear).select(
+        *[F.col("text").alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])
