@@ -12,16 +12,12 @@ from pyspark.sql import functions as F
 from tillroll.llm import bpe, decontaminate, langid, simhash, substring
 from tillroll.llm.common import Scratch, read_table
 
-LEAST_SCORE = 0.3   # short texts of few letters score low with every language and stay
+ODDS = 1.3   # short texts of few letters have low odds with every language and stay
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; those without a letter, or with no language above LEAST_SCORE, go."""
-    rest = [c for c in docs.columns if c != "text"]
-    rows = docs.select("doc_id", "text", "lang", F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
-    out = langid.identify(rows, keep=["doc_id", "text", "row"])
-    good = out.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return good.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
+    """Documents whose language is recognised; those without a letter, or with no language ahead of the others, go."""
+    return langid.recognised(docs, ODDS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,5 +72,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             scratch.drop(last)
 
 
-# SQL cannot express the network, the fingerprints or the tokenizer: tests compare with brute force
+# SQL cannot express the network, the fingerprints or the tokenizer: tests/llm/test_pipeline.py compares with brute force
 ORACLE_SQL = None
