@@ -120,3 +120,22 @@ def test_tiles_from_cut_points_match_the_window(spark):
             want = {r.id: r.t for r in df.withColumn("t", F.ntile(5).over(Window.orderBy(order, "id"))).collect()}
             got = {r.id: r.t for r in global_ntiles(df, [("v", desc, "t")], 5, tiebreak="id", buckets=8).collect()}
             assert got == want, (n, desc)
+
+
+@pytest.mark.parametrize("kind", ["spread", "heavy", "few"])
+def test_the_look_up_of_many_boundaries(spark, kind, monkeypatch):
+    """The paths that large inputs take: boundaries found in an array, and none left out for few rows."""
+    from tillroll.operators import ordering
+    df = _frame(spark, 1200, kind, 3)
+    w = Window.orderBy(F.col("d").asc(), F.col("id"))
+    want = sorted(map(tuple, df.select("id", F.row_number().over(w).cast("long"), F.rank().over(Window.orderBy("d")).cast("long")).collect()))
+    monkeypatch.setattr(ordering, "_TREE_MAX", 3)
+    monkeypatch.setattr(ordering, "ROWS_PER_BUCKET", 1)
+    got = global_order(df, "d", tiebreak="id", buckets=90)
+    assert sorted(map(tuple, got.select("id", "row_number", "rank").collect())) == want
+    tiles = global_ntiles(df, [("d", False, "t")], 5, tiebreak="id", buckets=90)
+    assert sorted(map(tuple, tiles.select("id", "t").collect())) == sorted(
+        map(tuple, df.select("id", F.ntile(5).over(w).cast("long")).collect()))
+    lag = ordering.global_lag(df, "d", {"v": "before"}, tiebreak="id", buckets=90)
+    assert sorted(map(repr, map(tuple, lag.select("id", "before").collect()))) == sorted(
+        map(repr, map(tuple, df.select("id", F.lag("v").over(w)).collect())))

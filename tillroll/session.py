@@ -66,7 +66,7 @@ def ensure_checkpoint_dir(spark: SparkSession, scratch_if_unset: bool = False) -
     sc = spark.sparkContext
     current = checkpoint_dir(spark)
     if not current and scratch_if_unset:
-        if not sc.master.startswith("local["):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tillroll-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if current and not sc.getCheckpointDir():
