@@ -45,3 +45,18 @@ def test_each_text_has_its_own_ids(rows):
     library = Tokenizer.from_file(path)
     want = sorted([library.encode(t, add_special_tokens=False).ids for t in (A, A, B)])
     assert sorted(r.ids for r in bpe.encode(rows, path).collect()) == want
+
+
+def test_the_callers_settings_stay():
+    """Without a shared folder a local session gets a temporary one, and its settings are not changed; a cluster is an error."""
+    from types import SimpleNamespace
+
+    from tillroll.llm import common
+
+    def session(master, app):
+        conf = SimpleNamespace(get=lambda k, d=None: d, set=lambda *a: pytest.fail("a setting was changed"))
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId=app))
+    one = common.shared_folder(session("local", "test-app-1"))
+    assert common.shared_folder(session("local[4]", "test-app-1")) == one != common.shared_folder(session("local[*]", "test-app-2"))
+    with pytest.raises(ValueError):
+        common.shared_folder(session("yarn", "test-app-3"))

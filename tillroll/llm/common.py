@@ -22,16 +22,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LOCAL: dict[str, str] = {}   # temporary folders of local applications that name none
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only a local master may go without it."""
+    """The folder named by ``spark.checkpoint.dir``; only a local master, as in tests, may go without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    sc = spark.sparkContext
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tillroll-llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if sc.applicationId not in _LOCAL:
+        _LOCAL[sc.applicationId] = tempfile.mkdtemp(prefix="tillroll-llm-")
+    return _LOCAL[sc.applicationId]
 
 
 class Scratch:
