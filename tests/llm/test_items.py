@@ -69,12 +69,36 @@ def test_items_that_open_alike_are_not_aligned_with_every_document(spark, docs_o
     bench = spark.createDataFrame([(i, f"{opening} {words(1000 + i, 25)}") for i in range(200)], "item_id bigint, text string")
     rows = [(i, f"{words(5000 + i, 30)} {opening} {words(9000 + i, 30)}") for i in range(400)]
     rows += [(1000, f"pre {opening} {words(1007, 25)}")]
-    made = spark.sparkContext.accumulator(0)
-    real = decontaminate.align
+    made, pairs = spark.sparkContext.accumulator(0), []
+    real, score = decontaminate.align, decontaminate._score
     monkeypatch.setattr(decontaminate, "align", lambda p, i: (made.add(1), real(p, i))[1])
+    monkeypatch.setattr(decontaminate, "_score", lambda df, t: (pairs.append(df.count()), score(df, t))[1])
     found = decontaminate.contaminated(docs_of(rows), bench).collect()
     assert [(r.doc_id, r.item_id) for r in found] == [(1000, 7)]
     assert 0 < made.value < 200 * 401 / 100
+    assert pairs[0] < 200 * 401 / 5                   # nor are the pairs made at all: they meet by rare words
+
+
+def test_every_way_to_candidates_finds_the_same_links(spark, docs_of, monkeypatch):
+    """Seeds of one item only, of a few, of many: the same links, whether items meet passages by seeds or by rare words."""
+    rng = random.Random(3)
+    opening = ["the quick brown fox jumps", "a b c d e f g"]
+    items = [(i, f"{opening[i % 2]} {words(i // 3, rng.randint(2, 30))} {words(70 + i, rng.randint(0, 9))}") for i in range(60)]
+    bench = spark.createDataFrame(items + [(90, "the the the the the the"), (91, "quick quick fox fox")], "item_id bigint, text string")
+    rows = []
+    for i in range(150):
+        w = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, len(w) // 2)):
+            j = rng.randrange(len(w))
+            w[j:j + 1] = rng.choice([[], ["x"], [w[j], "y"]])
+            if not w:
+                break
+        rows.append((i, f"{words(400 + i, 5)} {' '.join(w)} {words(600 + i, 5)} the the the the"))
+    found = []
+    for shared in (0, 3, 16, 10_000):
+        monkeypatch.setattr(decontaminate, "SHARED", shared)
+        found.append(sorted(map(tuple, decontaminate.links(docs_of(rows), bench).collect())))
+    assert found[0] == found[1] == found[2] == found[3] and len(found[0]) > 100
 
 
 def test_links_are_those_of_aligning_every_pair(spark, docs_of):

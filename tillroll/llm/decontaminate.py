@@ -5,7 +5,8 @@ items: of every ``SPREAD`` consecutive n-grams of an item the one that the fewes
 documents hold (counted over the whole corpus), so any intact stretch of
 ``gram + SPREAD - 1`` words of an item holds a seed. Training passages around seed hits are joined
 to the items by seed, and each (passage, item) pair with enough seeds, and with enough words in common for a
-score that counts, is aligned by Smith-Waterman over words, which scores edited and paraphrased copies by what they keep.
+score that counts, is aligned by Smith-Waterman over words, which scores edited and paraphrased copies by what they keep. Items that open alike share
+seeds; they meet passages by their rarest words instead (:func:`_candidates`), so that no seed makes all pairs.
 
 The test set goes against all documents in blocks of at most ``BLOCK`` different n-grams, whose
 hashes (8 MB) are broadcast; a larger test set makes more blocks. Blocks are cut by the n-grams themselves,
@@ -33,6 +34,7 @@ SPREAD = 2
 BLOCK = 1_000_000
 MARGIN = 64           # words kept on either side of seed hits, and the gap that still joins two hits
 MATCH, MISMATCH, GAP = 2, -1, -1
+SHARED = 16           # items that may share a seed which pairs them with its passages
 LEAST = 4             # matching words that an alignment is worth at least (all, if the item has fewer), however short the item
 FULL = 50             # an item's words beyond so many do not raise the score that counts as a copy
 
@@ -211,6 +213,43 @@ def _score(pairs: DataFrame, threshold: float) -> DataFrame:
                      f"k string, th binary, ik binary, item_id {kind}, n_seeds bigint, score double", run)
 
 
+def _candidates(passages: DataFrame, chosen: DataFrame, items: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """(k, th, at, ik): passages and items that share a seed, without the pairs that a seed of many items cannot decide.
+
+    A seed of up to ``SHARED`` items pairs its passages with these. Seeds of more items (texts that open alike) would pair
+    everything with everything. But a copy matches at least a number of the item's words, so it holds one of the
+    item's rarest words, as many as may be left unmatched and one more: passages with such a seed and items with
+    such a seed meet by those words, and seeds are compared after that.
+    """
+    held = chosen.groupBy("gram").agg(F.count("*").alias("n"))
+    common = scratch.save(held.where(F.col("n") > SHARED).select("gram"))
+    seeds = passages.select("k", "th", "at", F.explode("seeds").alias("gram"))
+    near = seeds.join(chosen.join(common, "gram", "left_anti"), "gram").select("k", "th", "at", "ik")
+    if common.isEmpty():
+        return near.distinct()
+    few = chosen.join(common, "gram", "left_semi").select("ik").distinct()
+
+    def spell(batch: pa.RecordBatch) -> dict:
+        of, word, nth, size = [], [], [], []
+        for i, text in enumerate(batch.column(1).to_pylist()):
+            own = words_of(text)
+            for w, n in Counter(own).items():
+                for j in range(n):
+                    of.append(i), word.append(w), nth.append(j), size.append(len(own))
+        return {"ik": batch.column(0).take(pa.array(of, pa.int64())), "word": word, "nth": nth, "size": size}
+
+    words = scratch.save(map_arrow(items.join(few, "ik").select("ik", "text"), "ik binary, word string, nth int, size int", spell))
+    rarity = words.where("nth = 0").groupBy("word").agg(F.count("*").alias("in_items"))
+    least = F.greatest(F.lit(1), F.least(F.lit(LEAST), "size"), F.ceil(F.lit(threshold) * F.least(F.lit(FULL), "size") - 1e-9))
+    order = W.partitionBy("ik").orderBy("in_items", "word", "nth")                # one item's words
+    prefix = (words.join(rarity, "word").withColumn("place", F.row_number().over(order))
+              .where(F.col("place") <= F.col("size") - least + 1).select("ik", "word").distinct())
+    spread = (passages.join(seeds.join(common, "gram", "left_semi").select("k", "th", "at").distinct(), ["k", "th", "at"], "left_semi")
+              .select("k", "th", "at", F.explode(F.array_distinct(F.split("passage", " "))).alias("word")))
+    met = spread.join(prefix, "word").select("k", "th", "at", "ik")
+    return near.unionByName(met).distinct()
+
+
 def links(docs: DataFrame, items: DataFrame, gram: int = 3, min_seeds: int = 1, threshold: float = 0.5,
           key: str = "doc_id", text: str = "text") -> DataFrame:
     """(k, th, ik, item_id, n_seeds, score): every document with every item it holds a copy of, by its best passage.
@@ -244,15 +283,14 @@ def links(docs: DataFrame, items: DataFrame, gram: int = 3, min_seeds: int = 1,
         counted.withColumn("pick", F.min(F.struct("df", "gram")).over(near))
         .where((F.col("pos") <= F.col("size") - SPREAD) | (F.col("pos") == 0))
         .select("ik", F.col("pick.gram").alias("gram")).distinct())
-    seeds = chosen.join(chosen.groupBy("ik").agg(F.count("*").alias("of")), "ik")
     rare = scratch.save(chosen.select("gram").distinct())
     passages = scratch.save(_passages(src, rare, gram, scratch).dropDuplicates(["k", "th", "at"]))
-    hits = (passages.select("k", "th", "at", F.explode("seeds").alias("gram"))
-            .join(seeds, "gram").groupBy("k", "th", "at", "ik")
-            .agg(F.count("*").alias("n_seeds"), F.first("of").alias("of"))
-            .where(F.col("n_seeds") >= F.least("of", F.lit(min_seeds))))
-    pairs = (hits.join(passages.drop("seeds"), ["k", "th", "at"])
-             .join(items.withColumnRenamed("text", "item"), "ik"))
+    own = items.select("ik", "item_id", F.col("text").alias("item")).join(
+        chosen.groupBy("ik").agg(F.collect_list("gram").alias("own")), "ik")      # an item's seeds, bounded by its length
+    near = _candidates(passages, chosen, items, threshold, scratch)
+    n_seeds = F.size(F.array_intersect("seeds", "own"))
+    pairs = (near.join(passages, ["k", "th", "at"]).join(own, "ik").withColumn("n_seeds", n_seeds.cast("bigint"))
+             .where(F.col("n_seeds") >= F.least(F.size("own"), F.lit(min_seeds))))
     found = _score(pairs, threshold).where((F.col("score") >= threshold) & (F.col("score") > 0))
     return scratch.save(found.groupBy("k", "th", "ik").agg(
         F.first("item_id").alias("item_id"), F.max(F.struct("score", "n_seeds")).alias("b"))
