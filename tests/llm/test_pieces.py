@@ -51,6 +51,8 @@ def test_buckets_of_bounded_size_answer_all_blocks(docs_of, sp, monkeypatch):
     words = [f"w{i}" for i in range(400)]
     given = [(i, " ".join(["the"] * 20 + rng.choices(words, k=30))) for i in range(60)]
     assert got(pieces.encode(docs_of(given).repartition(3), MODEL, decoded=True, block=900)) == expected(sp, given)
+    monkeypatch.setattr(pieces, "BUCKETS", 3)                       # few buckets of many words
+    assert got(pieces.encode(docs_of(given).repartition(3), MODEL, decoded=True, block=900)) == expected(sp, given)
 
 
 def test_each_distinct_word_is_segmented_once(spark, docs_of, tmp_path, monkeypatch):

@@ -32,6 +32,7 @@ MARK = "▁"
 BLOCK = 32 << 20          # bytes of text whose words are numbered together
 DOCS = 256                # of a block that stand in one row of the written table
 WORDS = 400_000           # of all blocks together that a bucket answers, about
+BUCKETS = 1 << 16         # at most, so that a block's words for a bucket are worth a row; a worker holds a bucket's distinct words only
 
 
 class Segmenter:
@@ -170,7 +171,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
     # written once: the names of blocks and the numbers of words hold for both uses below
     numbered = scratch.save_bucketed(_numbered(src, model, block), "block")
     words = numbered.where(F.col("n").isNotNull()).select("block", "sizes", "words", "n")
-    buckets = max(1, -(-(words.agg(F.sum("n")).first()[0] or 0) // WORDS))
+    buckets = min(BUCKETS, max(1, -(-(words.agg(F.sum("n")).first()[0] or 0) // WORDS)))
 
     def deal(batch: pa.RecordBatch) -> dict:
         cols = {c: [] for c in ("bucket", "block", "at", "sizes", "words")}
@@ -185,22 +186,27 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
                     cols[c].append(v)
         return cols
 
-    def answer(group: pa.Table) -> pa.Table:
-        seg = segmenter(model)
-        of: dict[bytes, bytes] = {}                      # each distinct word of the bucket, segmented once
-        rows = []
-        for sizes, data in zip(group["sizes"].to_pylist(), group["words"].to_pylist()):
-            mine = _unpack(sizes, data)
-            new = [w for w in mine if w not in of]
-            of.update(zip(new, [np.array(g, "<u4").tobytes() for g in seg.ids(new)]))
-            got = [of[w] for w in mine]
-            rows.append((_squeeze(np.fromiter(map(len, got), np.uint32, len(got)) // 4), _squeeze(np.frombuffer(b"".join(got), "<u4"))))
-        return pa.table({"block": group["block"], "at": group["at"], "sizes": pa.array([a for a, _ in rows], pa.binary()),
-                         "ids": pa.array([b for _, b in rows], pa.binary())})
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come bucket by bucket; each distinct word of a bucket is segmented once."""
+        seg, of, last = segmenter(model), {}, None
+        for batch in batches:
+            sizes, ids = [], []
+            for bucket, lengths, data in zip(*(batch.column(i).to_pylist() for i in (0, 3, 4))):
+                if bucket != last:
+                    of, last = {}, bucket
+                mine = _unpack(lengths, data)
+                new = [w for w in mine if w not in of]
+                of.update(zip(new, [np.array(g, "<u4").tobytes() for g in seg.ids(new)]))
+                got = [of[w] for w in mine]
+                sizes.append(_squeeze(np.fromiter(map(len, got), np.uint32, len(got)) // 4))
+                ids.append(_squeeze(np.frombuffer(b"".join(got), "<u4")))
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())],
+                                             names=["block", "at", "sizes", "ids"])
 
     dealt = map_arrow(words.select("block", "sizes", "words"),
                       "bucket bigint, block string, at binary, sizes binary, words binary", deal)
-    answers = dealt.groupBy("bucket").applyInArrow(answer, "block string, at binary, sizes binary, ids binary")
+    answers = dealt.repartition("bucket").sortWithinPartitions("bucket") \
+        .mapInArrow(answer, "block string, at binary, sizes binary, ids binary")
 
     def gather(mine: pa.Table, table: pa.Table) -> pa.Table:
         parts = [(np.cumsum(_swell(at).astype(np.int64)), _swell(s).astype(np.int64), _swell(i).astype(np.int32))
