@@ -62,6 +62,19 @@ def test_no_exchange_above_the_bucketed_scans(spark, stored):
     assert len(glob.glob(f"{spark.sql(f'DESCRIBE EXTENDED {facts.name}_lines').where('col_name = \"Location\"').first().data_type[5:]}/*.parquet")) <= 4
 
 
+def test_reports_over_the_buckets(spark, stored):
+    shop = star_tables(spark, SF)
+    over = B.shop_over_buckets(shop, stored(shop, 4))
+    for report in (revenue.revenue_trend, channel.channel_quality, clv.segment_clv):
+        df = report(over)
+        assert rows(df) == rows(report(shop)), report.__name__
+        text = plan(df)
+        assert "lineitem.parquet" not in text and text.count("hashpartitioning(order_id") <= 1     # heavy orders' sums
+    done = plan(revenue.revenue_trend(over))
+    assert "EqualTo(status,completed)" in spark._jvm.PythonSQLUtils.explainString(
+        revenue.revenue_trend(over)._jdf.queryExecution(), "formatted") and "Bucketed: true" in done
+
+
 def native(spark, line_rows, order_rows):
     from tillroll.sources import schema as S
     items = spark.createDataFrame(line_rows, "item_id bigint, order_id bigint, product_id bigint, quantity int, "

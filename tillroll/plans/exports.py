@@ -42,13 +42,15 @@ def export_all(shop: Shop, out_dir: str) -> DataFrame:
     """
     spark = shop.orders.sparkSession
     scratch = f"{out_dir}/_order_grain"
-    shop = with_order_grain(shop, scratch)
     frames = {}
-    for name, fn in EXPORTS.items():   # each report runs once; what follows reads the files
-        df = fn(shop)
-        sinks.export_csv(df, f"{out_dir}/{name}")
-        frames[name] = sinks.import_csv(spark, f"{out_dir}/{name}", df.schema)
-    remove(spark, scratch)
+    try:
+        shop = with_order_grain(shop, scratch)
+        for name, fn in EXPORTS.items():   # each report runs once; what follows reads the files
+            df = fn(shop)
+            sinks.export_csv(df, f"{out_dir}/{name}")
+            frames[name] = sinks.import_csv(spark, f"{out_dir}/{name}", df.schema)
+    finally:
+        remove(spark, scratch)
     summary = shape.kpi_summary(frames["revenue_trend"], frames["product_performance"],
                                 frames["channel_performance"])
     sinks.export_json(summary, f"{out_dir}/summary")

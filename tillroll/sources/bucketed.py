@@ -13,7 +13,7 @@ aggregates of many tasks, one row each in the end.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,3 +100,8 @@ def bucketed_order_totals(facts: BucketedFacts, status: str | None = None) -> Da
     heavy = line_totals(facts.heavy_lines.where("order_id IS NOT NULL"))
     apart = join_totals(heavy, orders, facts.lines.columns, hint="broadcast")   # fewer rows than buckets
     return rest.unionByName(apart)
+
+
+def shop_over_buckets(shop: Shop, facts: BucketedFacts) -> Shop:
+    """``shop`` whose reports read the order grain from the buckets; a report's status filter reaches the orders' scan."""
+    return replace(shop, totals=bucketed_order_totals(facts))
