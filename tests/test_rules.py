@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 
 import pytest
 
+from tillroll.operators import rules
 from tillroll.operators.quality import constraint_violations
 from tillroll.operators.rules import row_violations, rule_name
 
@@ -74,3 +76,42 @@ def test_no_rows_no_violations(spark):
     tables, _ = make(spark, 1)
     assert row_violations({"people": tables["people"].limit(0), "towns": tables["towns"]}, "people", RULES).count() == 0
     assert row_violations(tables, "towns", RULES).count() == 0
+
+
+@pytest.mark.parametrize("join", ["10MB", "-1"])
+def test_large_tables_are_dealt_by_their_rows(spark, monkeypatch, join):
+    """A part of 10 rows: every join and count of the 345 rows lies in 35 partitions, not in the session's 8."""
+    monkeypatch.setattr(rules, "ROWS_A_PART", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", join)
+    try:
+        tables, rows = make(spark, 4)
+        counts = {}
+        out = row_violations(tables, "people", RULES, counts)
+        dealt = re.findall(r"hashpartitioning\(.*, (\d+)\)", out._jdf.queryExecution().executedPlan().toString())
+        got = Counter()
+        for r in out.collect():
+            got[tuple(r)[1:8], tuple(r.failed)] += r.rows
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert counts["people"] == len(rows) == 345 and got == brute(rows)
+    assert "35" in dealt and (join != "-1" or {*dealt} == {"35"}), dealt
+
+
+def test_frequent_keys_are_summed_in_several_tasks(spark):
+    df = spark.range(0, 10_000, 1, 16).selectExpr("if(id % 3 = 0, null, id % 500) AS k", "id % 7 AS v")
+    want = {r.k: r.s for r in df.groupBy("k").agg({"v": "sum"}).withColumnRenamed("sum(v)", "s").collect()}
+    out = rules.totals(df, ["k"], rules.F.col("v"), "s", 20)
+    assert {r.k: r.s for r in out.collect()} == want
+    assert "hashpartitioning(k#" in (plan := out._jdf.queryExecution().executedPlan().toString()) and "_some" in plan
+
+
+def test_rows_of_a_frequent_key_lie_in_several_tasks(spark):
+    df = spark.range(0, 4_000, 1, 16).selectExpr("if(id % 3 = 0, null, id) AS k", "id")
+    found = rules.totals(df, ["k"], rules.F.lit(1), "n", 8)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(rules, "ROWS_A_PART", 100)
+        out = rules.looked_up(df, found, ["k"], "n", 40).cache()
+    rows = out.collect()
+    assert len(rows) == 4_000 and all(r.n == (1334 if r.k is None else 1) for r in rows)
+    tasks = Counter(r.t for r in out.where("k IS NULL").select(rules.F.spark_partition_id().alias("t")).collect())
+    assert max(tasks.values()) < 700, tasks

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.dates import iso_datetime
 from tillroll.functions.numeric import to_double
-from tillroll.operators import facts, quality, shape
+from tillroll.operators import facts, quality, rules, shape
 from tillroll.plans import channel, clv, cohort, marketing, product, revenue, rfm, stored
 from tillroll.session import delete_on_exit, ensure_checkpoint_dir
 from tillroll.sources import schema as S
@@ -105,9 +105,10 @@ def constraint_violations(shop: Shop) -> DataFrame:
     return quality.constraint_violations(_tables(shop), ADAPTER_RULES)
 
 
-def row_violations(shop: Shop) -> DataFrame:
+def row_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows behind the counts of ``constraint_violations``."""
-    return stored.row_violations(shop, ADAPTER_RULES)
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    return stored.row_violations(star_tables(spark, sf_dir, rules.parts(spark, lines)), ADAPTER_RULES)
 
 
 def apply_defaults(shop: Shop) -> DataFrame:
@@ -159,7 +160,6 @@ REPORTS: dict[str, ShopReport] = {
     "constraint_violations": constraint_violations,
     "apply_defaults": apply_defaults,
     "defaults_by_table": stored.defaults_by_table,
-    "row_violations": row_violations,
     "order_grain_bucketed": stored.order_grain_bucketed,
     "export_all": stored.export_all,
     "unique_customers": stored.unique_customers,
@@ -226,6 +226,7 @@ EXTRA: dict[str, Query] = {
     "import_json": _roundtrip("json", marketing.marketing_roi_export),
     "load_warehouse_table": _roundtrip("table", channel.channel_performance_export),
     "checked_append": _prepared(stored.checked_append),
+    "row_violations": _prepared(row_violations),
     "csv_quarantine": _prepared(stored.csv_quarantine),
 }
 

@@ -83,14 +83,16 @@ def _text(c: str):
 def row_violations(shop: Shop, declared) -> DataFrame:
     """Offending rows of all tables: table, row_key, failed (rule names), rows."""
     tables = {n: shop.table(n) for n in S.TABLES}
+    counts: dict[str, int] = {}
     out = None
     for name in tables:
         pk = next(cols for t, kind, cols, _ in declared if t == name and kind == "pk")
-        found = rules.row_violations(tables, name, declared)
+        found = rules.row_violations(tables, name, declared, counts)
         part = found.select("table", F.concat_ws("|", *[_text(c) for c in pk]).alias("row_key"),
                             F.array_join("failed", " ").alias("failed"), "rows")
         out = part if out is None else out.unionByName(part)
-    return out.groupBy("table", "row_key", "failed").agg(F.sum("rows").cast("bigint").alias("rows"))
+    n = rules.parts(shop.orders.sparkSession, sum(counts[name] for name in tables))
+    return rules.totals(out, ("table", "row_key", "failed"), F.col("rows"), "rows", n)
 
 
 APPEND_RULES = [

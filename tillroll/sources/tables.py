@@ -93,7 +93,7 @@ def _status(orderstatus, orderkey):
                    F.when((orderkey % 2).eqNullSafe(0), "cancelled").otherwise("pending"))))
 
 
-def star_tables(spark: SparkSession, sf_dir: str) -> Shop:
+def star_tables(spark: SparkSession, sf_dir: str, line_parts: int | None = None) -> Shop:
     """The star schema under ``sf_dir`` mapped onto the shop tables.
 
     customers  <- customer (+ nation, region; referral = type of the user's
@@ -102,6 +102,8 @@ def star_tables(spark: SparkSession, sf_dir: str) -> Shop:
     lines      <- lineitem; cost from part.p_retailprice * quantity; discount
                   and ship date kept per line
     products   <- part (category = p_type), spend <- events by month, type
+
+    With ``line_parts`` lines and costs meet in that many partitions, not in the session's number.
     """
     def rd(t: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{t}.parquet")
@@ -146,7 +148,8 @@ def star_tables(spark: SparkSession, sf_dir: str) -> Shop:
     )
 
     part = rd("part")
-    part_cost = part.groupBy(F.col("p_partkey").alias("product_id")).agg(
+    costed = part.repartition(line_parts, "p_partkey") if line_parts else part
+    part_cost = costed.groupBy(F.col("p_partkey").alias("product_id")).agg(
         F.max(money("p_retailprice")).alias("part_cost"))
     li = rd("lineitem")
     qty = F.round("l_quantity").cast("int")   # whole already; a fraction would round, not be cut
